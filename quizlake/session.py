@@ -37,3 +37,10 @@ def cut(df: DataFrame) -> DataFrame:
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path for a written table inside the shared folder."""
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan for a stage of Python work: dealt out only where the files give fewer partitions than there are cores."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    few = scan._jdf.queryExecution().toRdd().getNumPartitions() < cores
+    return scan.repartition(2 * cores) if few else scan
