@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quizlake.llm import leakage, neardup, packing, sentences
+from quizlake.llm import abuse, leakage, neardup, packing, sentences
 from quizlake.session import table
 
 
@@ -38,5 +38,20 @@ def p8_leaked_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p8_found(spark, sf_dir).join(docs, "doc_id").groupBy("item_id").agg(F.count_distinct("doc_id").alias("n_docs"), F.count_distinct("source").alias("n_sources"))
 
 
-QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p3_links": p3_links, "p7_containers": p7_containers, "p8_found": p8_found, "p8_leaked_items": p8_leaked_items}
+def _scored(spark: SparkSession, sf_dir: str, columns: list[str]) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return abuse.scores(docs, abuse.fit(abuse.labelled(docs, table(spark, sf_dir, "doc_label"))), columns)
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scored(spark, sf_dir, ["doc_id"]).where(F.col("score") >= abuse.THRESHOLD).select("doc_id").distinct()
+
+
+def p9_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per source: documents, those found abusive, and their share."""
+    bad = F.count_if(F.col("score") >= abuse.THRESHOLD)
+    return _scored(spark, sf_dir, ["source"]).groupBy("source").agg(F.count(F.lit(1)).alias("n_docs"), bad.alias("n_abusive"), (bad / F.count(F.lit(1))).alias("rate"))
+
+
+QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p3_links": p3_links, "p7_containers": p7_containers, "p8_found": p8_found, "p8_leaked_items": p8_leaked_items, "p9_found": p9_found, "p9_rates": p9_rates}
 SQL: dict[str, str] = {}
