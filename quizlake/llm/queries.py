@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quizlake.llm import abuse, leakage, neardup, packing, sentences
+from quizlake.llm import abuse, canonical, leakage, neardup, packing, sentences
 from quizlake.session import table
 
 
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return canonical.map_questions(table(spark, sf_dir, "question"), table(spark, sf_dir, "category_ref"))
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentences.spans(table(spark, sf_dir, "tossup"), "id", "question").withColumnRenamed("id", "tossup_id")
 
@@ -53,5 +57,5 @@ def p9_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(spark, sf_dir, ["source"]).groupBy("source").agg(F.count(F.lit(1)).alias("n_docs"), bad.alias("n_abusive"), (bad / F.count(F.lit(1))).alias("rate"))
 
 
-QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p3_links": p3_links, "p7_containers": p7_containers, "p8_found": p8_found, "p8_leaked_items": p8_leaked_items, "p9_found": p9_found, "p9_rates": p9_rates}
+QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p3_links": p3_links, "p7_containers": p7_containers, "p8_found": p8_found, "p8_leaked_items": p8_leaked_items, "p9_found": p9_found, "p9_rates": p9_rates}
 SQL: dict[str, str] = {}
