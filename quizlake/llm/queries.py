@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quizlake.llm import abuse, canonical, leakage, neardup, packing, sentences
+from quizlake.llm import abuse, canonical, leakage, names, neardup, packing, sentences
 from quizlake.session import table
 
 
@@ -28,6 +28,19 @@ def p3_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return members.join(ends, "rep", "left").select(F.col("id").alias("tossup_id"), F.col("rep").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    teams, players = names.entities(table(spark, sf_dir, "team"), table(spark, sf_dir, "player"))
+    return names.pairs(teams).select(F.lit("team").alias("table_name"), "id_a", "id_b").unionByName(names.pairs(players).select(F.lit("player").alias("table_name"), "id_a", "id_b"))
+
+
+def p4_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every linked row with its entity and the number of spellings of that entity."""
+    teams, players = names.entities(table(spark, sf_dir, "team"), table(spark, sf_dir, "player"))
+    rows = teams.select(F.lit("team").alias("table_name"), "id", "name", "entity").unionByName(players.select(F.lit("player").alias("table_name"), "id", "name", "entity"))
+    sizes = rows.groupBy("table_name", "entity").agg(F.count_distinct("name").alias("n_spellings"))
+    return rows.join(sizes, ["table_name", "entity"]).select("table_name", "id", "entity", "n_spellings")
+
+
 def p7_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.containers(table(spark, sf_dir, "documents"))
 
@@ -57,5 +70,5 @@ def p9_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(spark, sf_dir, ["source"]).groupBy("source").agg(F.count(F.lit(1)).alias("n_docs"), bad.alias("n_abusive"), (bad / F.count(F.lit(1))).alias("rate"))
 
 
-QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p3_links": p3_links, "p7_containers": p7_containers, "p8_found": p8_found, "p8_leaked_items": p8_leaked_items, "p9_found": p9_found, "p9_rates": p9_rates}
+QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p3_links": p3_links, "p4_found": p4_found, "p4_entities": p4_entities, "p7_containers": p7_containers, "p8_found": p8_found, "p8_leaked_items": p8_leaked_items, "p9_found": p9_found, "p9_rates": p9_rates}
 SQL: dict[str, str] = {}
