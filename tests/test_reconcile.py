@@ -68,5 +68,5 @@ def test_many_differences_and_empty_sides(spark):
 
 
 def test_very_long_text(spark):
-    text = "long " * 200_000
+    text = "long " * 100_000
     check(spark, [(1, text, "s")], [(1, text + "x", "s", 1)])
