@@ -1,0 +1,148 @@
+"""The operators' plain functions against brute force."""
+
+import random
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from quizlake.llm import abuse, canonical, leakage, names, neardup, packing, sentences
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.integers(1, 2048), max_size=300))
+def test_packing_fills_every_item_once_within_capacity(sizes):
+    bins = packing.harmonic(np.array(sizes, dtype=np.int64))
+    load = np.bincount(bins, weights=sizes) if sizes else np.zeros(0)
+    assert len(bins) == len(sizes) and (bins >= 0).all() and (load <= 2048).all() and (load > 0).all()
+
+
+def test_packing_wastes_little():
+    rng = np.random.default_rng(1)
+    sizes = np.minimum(rng.lognormal(5, 1, 16000).astype(int) + 1, 2048)
+    assert sizes.sum() / (packing.harmonic(sizes).max() + 1) / 2048 > 0.98
+
+
+WORDS = [f"w{i}" for i in range(6)] + ["Éa", "<b>x</b>", "3"]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.sampled_from(WORDS), max_size=40), st.lists(st.sampled_from(WORDS), max_size=40), st.integers(0, 20))
+def test_leakage_equals_brute_force(a, b, n):
+    b = b + a[n : n + 14]
+    x, y = " ".join(a), ", ".join(b)
+    p, q = leakage.words(x), leakage.words(y)
+    runs = {tuple(p[i : i + 12]) for i in range(len(p) - 11)} & {tuple(q[i : i + 12]) for i in range(len(q) - 11)}
+    got = leakage.Index([(7, x)]).leaks([1, 2, 3], ["", y, "w1 w2"], leakage._Hashes())
+    assert got == ([(2, 7)] if runs else [])
+
+
+def test_words():
+    assert leakage.words("<em>Été</em>-LE 2nd naïve_x") == ["ete", "le", "2nd", "naive", "x"]
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.sets(st.integers(0, 60), min_size=1, max_size=30), min_size=2, max_size=30))
+def test_tree_search_drops_no_similar_pair(sets):
+    hashes = [np.array([(x * 0x9E3779B97F4A7C15) % 2**64 for x in sorted(s)], dtype=np.uint64) for s in sets]
+    n, p = np.array([len(h) for h in hashes]), np.array([neardup.counts(h) for h in hashes])
+    got = set(neardup.search(n, p, fan=4))
+    got |= {(b, a) for a, b in got}
+    half = len(sets) // 2
+    across = set(neardup.search(n[:half], p[:half], n[half:], p[half:], fan=4)) if half else set()
+    for i in range(len(sets)):
+        for j in range(i + 1, len(sets)):
+            if len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= neardup.THRESHOLD:
+                assert (i, j) in got
+                if i < half <= j:
+                    assert (i, j - half) in across
+
+
+def test_capped_counts_stay_a_bound():
+    a = np.full((1, neardup.GROUPS), 65535, dtype=np.uint16)
+    assert neardup.bound(a, a)[0, 0] > 10**12
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(st.sampled_from("ab .!?\"«»()。」「<em>/\n ก1…;'"), max_size=80))
+def test_sentence_spans_cover_the_text(text):
+    model = sentences.Model(frozenset(), {})
+    spans = sentences.split(text, model)
+    assert all(0 <= a < b <= len(text) and not text[a].isspace() and not text[b - 1].isspace() for a, b in spans)
+    assert all(p[1] <= q[0] for p, q in zip(spans, spans[1:]))
+    assert "".join(text[a:b] for a, b in spans).replace(" ", "").split() == "".join(text.split()).replace(" ", "").split() or "".join("".join(text[a:b].split()) for a, b in spans) == "".join(text.split())
+
+
+def test_long_texts_take_linear_time():
+    model = sentences.Model(frozenset(), {})
+    assert len(sentences.split('He said "go. ' * 20_000, model)) > 0
+    assert sentences.split("(" * 50_000 + "a. B", model)
+    assert abuse.Model({"idiot": 5.0}, -3.0).score("a b c. " * 50_000) == 0.0
+
+
+def test_forms_of_typed_values():
+    entries = [(1, "category", "History", "history", None), (2, "category", "Fine Arts", "fine-arts", None), (3, "subcategory", "World History", "world-history", 1), (4, "subcategory", "World Literature", "world-literature", 5)]
+    index = canonical.Index(canonical.forms(entries, "category"))
+    sub = canonical.Index(canonical.forms(entries, "subcategory"))
+    for v, e in (("Hsitory", 1), ("*History (3)", 1), ("FineArts", 2), ("cat-fine-arts-2", 2), ("Histology", 0), ("???", 0), ("History - World History", 1), ("Hıstory", 1), ("past", 1)):
+        assert canonical.decide(v, "category", index)[0] == e, v
+    assert canonical.decide("World", "subcategory", sub, 1)[0] == 3 and canonical.decide("World", "subcategory", sub, 5)[0] == 4
+    assert canonical.decide("x", "category", canonical.Index([])) == (0, 0.0, 0.0)
+    assert canonical.edits("abcd", "abdc") == 1 and canonical.edits("", "ab") == 2
+
+
+def test_names():
+    assert names.team("The Balran-Daugbauby Inst. of Tech. (B)") == ("balran daugbauby", "institute of technology")
+    assert names.team("Uni Balran Daugbauby 2")[1] == "university" and names.team("Balran Daugbauby") == ("balran daugbauby", "")
+    assert names.person("Vautquist, Charlotte (C)*") == "charlotte vautquist" and names.person("Édith L. Kikstead") == "edith kikstead"
+    s = names.person_similarity
+    for a, b in (("d brilberg", "dmitri brilberg"), ("zoe b", "zoe biryombe"), ("payneziak leonard", "lenny payneziak"), ("bob pulgard", "robert pulgrad")):
+        assert s(a, b, 0.5) > 0.5, (a, b)
+    for a, b in (("dmitri brilberg", "deborah brilberg"), ("zoe biryombe", "chloe biryombe"), ("ines dal", "ines kor")):
+        assert s(a, b, 0.5) == 0.0, (a, b)
+    assert names.person("") == "" and names.team("  ") == ("", "")
+
+
+def test_local_linkage_equals_greedy():
+    rng = random.Random(4)
+    for _ in range(60):
+        n = rng.randrange(2, 9)
+        edges = [(i, j, round(rng.random(), 3)) for i in range(n) for j in range(i + 1, n) if rng.random() < 0.7]
+        sims = {(a, b): s for a, b, s in edges}
+        groups = [[i] for i in sorted({x for e in edges for x in e[:2]})]
+        mean = lambda g, h: sum(sims.get((min(a, b), max(a, b)), 0.0) for a in g for b in h) / (len(g) * len(h))
+        while True:
+            best = max(((mean(g, h), -i, -j) for i, g in enumerate(groups) for j, h in enumerate(groups) if i < j), default=(0, 0, 0))
+            if best[0] < 0.5:
+                break
+            groups[-best[1]] += groups.pop(-best[2])
+        out: dict = {}
+        for node, c in names._linked(edges, 0.5):
+            out.setdefault(c, set()).add(node)
+        assert sorted(map(sorted, out.values())) == sorted(map(sorted, groups))
+
+
+@pytest.mark.parametrize(("raw", "plain"), [("k i l l", "kill"), ("dip$h17", "dipshit"), ("nakеd", "naked"), ("orrrrgasm", "orgasm"), ("xxx", "xxx"), ("18+ at 3am", "18+ at 3am")])
+def test_disguises(raw, plain):
+    assert abuse.plain(raw) == plain
+
+
+def test_classifier_learns_from_noisy_documents():
+    rng = random.Random(3)
+    calm = ["The round was long.", "We played on a coastal buzzer.", "Women are welcome in every round.", "The packet mentions an insult, a clue."]
+    rude = ["You are a zorgish clown.", "Women are zorgish trash."]
+
+    def doc(bad):
+        s = rng.choices(calm, k=6) + ([rng.choice(rude)] if bad else [])
+        rng.shuffle(s)
+        return " ".join(s)
+
+    data = [(doc(k % 3 == 0), float(k % 3 == 0)) for k in range(240)]
+    noisy = [(t, y if rng.random() > 0.06 else 1 - y) for t, y in data]
+    model = abuse.fit(noisy)
+    held = [(doc(k % 2 == 0), k % 2 == 0) for k in range(200)]
+    assert sum((model.score(t) >= 0.5) == y for t, y in held) >= 190
+    assert abs(model.one.get("women", 0.0) - model.one.get("muslims", 0.0)) < 0.6
+    assert model.score("") == 0.0
+    assert abuse.fit([]).score("You idiot, you stupid bitch") > abuse.fit([]).score("Good day")
