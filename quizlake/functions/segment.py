@@ -19,6 +19,7 @@ MIN_WORDS, MAX_WORDS, QUOTE_WORDS, LONG_WORDS, SEMICOLON_WORDS = 5, 40, 45, 40,
 LONGER, SHORTER = 1.5, 0.3
 
 _STOP = re.compile(r"(?:\.{3,}|[.?!])[\"'”’)\]]*(?=\s+|$)")
+_BLANK = re.compile(r"\s*")
 _RULE_ABBREVIATIONS = frozenset("dr mr mrs ms prof st mt ft gen capt rev jr sr vs no op c ca cf e.g i.e et al inc ltd co u.s a.m p.m ph.d".split())
 
 
@@ -51,12 +52,18 @@ def _sentences(text: str, ends: list[int]) -> list[Span]:
     return out
 
 
+def _next(text: str, at: int) -> str:
+    """The first character from ``at`` on that is no white space."""
+    k = _BLANK.match(text, at).end()
+    return text[k : k + 1]
+
+
 def untrained_split(text: str) -> list[Span]:
     """Statistical splitting without statistics: marks end sentences, except after initials, numbers and pauses before a lower-case word."""
     ends = []
     for m in _STOP.finditer(text):
-        after = text[m.end() :].lstrip()[:1]
-        before = re.search(r"(\S*)$", text[: m.start()][-40:])[1]
+        after = _next(text, m.end())
+        before = re.search(r"(\S*)$", text[max(0, m.start() - 40) : m.start()])[1]
         if m[0][0] == "." and (len(before) == 1 and before.isalpha() or m[0].startswith("...") or re.fullmatch(r"[\d.,]+", before)) and not (after.isupper() and not (len(before) == 1)):
             continue
         ends.append(m.end())
@@ -67,8 +74,8 @@ def rule_split(text: str) -> list[Span]:
     """Marks end sentences, except after abbreviations and initials and before lower-case words."""
     ends = []
     for m in _STOP.finditer(text):
-        after = text[m.end() :].lstrip()[:1]
-        before = re.search(r"([^\s(\[\"“]*)$", text[: m.start()][-40:])[1].lower()
+        after = _next(text, m.end())
+        before = re.search(r"([^\s(\[\"“]*)$", text[max(0, m.start() - 40) : m.start()])[1].lower()
         if m[0][0] == "." and (before in _RULE_ABBREVIATIONS or (len(before) == 1 and before.isalpha())):
             continue
         if after.islower() and m[0][0] == ".":

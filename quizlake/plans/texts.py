@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from quizlake.functions import segment, text
 from quizlake.operators import records
 from quizlake.plans import domain
-from quizlake.session import cut, table
+from quizlake.session import cut, spread, table
 
 
 def _tossups(spark: SparkSession, sf: str) -> DataFrame:
@@ -49,7 +49,7 @@ def position_match_report(spark: SparkSession, sf: str) -> DataFrame:
 
 def _spans(spark: SparkSession, sf: str, f: Callable[[Column], Column]) -> DataFrame:
     """One row per text, spans as start-end pairs."""
-    q = _tossups(spark, sf).where("question is not null").select("id", text.sanitize(F.col("question")).alias("question"))
+    q = spread(_tossups(spark, sf)).where("question is not null").select("id", text.sanitize(F.col("question")).alias("question"))
     return q.withColumn("spans", f(F.col("question")))
 
 
