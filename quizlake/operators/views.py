@@ -67,23 +67,34 @@ def bonus_part_info(t: Tables) -> DataFrame:
     )
 
 
-def buzz_rows(t: Tables) -> DataFrame:
-    """One row per buzz with a player and a game; the tournament is the game's."""
+def _placed(t: Tables) -> DataFrame:
+    """Buzzes of known games, with the game's tournament."""
     rounds = _as(t["round"], "r", r_tournament="tournament_id").join(_as(t["tournament"], "t", tournament="slug"), F.col("r_tournament") == F.col("t_key")).select("r_key", "tournament")
     games = _as(t["game"], "g", g_round="round_id").join(rounds, F.col("g_round") == F.col("r_key")).select("g_key", "tournament")
+    return t["buzz"].select("id", "player_id", "tossup_id", "game_id", "buzz_position", "value").join(games, F.col("game_id") == F.col("g_key")).drop("g_key")
+
+
+def _described(t: Tables, buzzes: DataFrame) -> DataFrame:
     players = _as(t["player"], "p", player="slug", p_team="team_id").join(_as(t["team"], "a", team="slug"), F.col("p_team") == F.col("a_key")).select("p_key", "player", "team")
     tossups = _as(t["tossup"], "u", question_text="question", question_answer="answer", u_question="question_id")
     questions = _as(t["question"], "q", question_category="category", question_subcategory="subcategory")
     return (
-        t["buzz"].select("id", "player_id", "tossup_id", "game_id", "buzz_position", "value")
-        .join(players, F.col("player_id") == F.col("p_key"))
-        .join(games, F.col("game_id") == F.col("g_key"))
+        buzzes.join(players, F.col("player_id") == F.col("p_key"))
         .join(tossups.join(questions, F.col("u_question") == F.col("q_key")), F.col("tossup_id") == F.col("u_key"))
         .select("id", "player_id", "tossup_id", "game_id", "question_text", "question_answer", "question_category", "question_subcategory", "tournament", "team", "player", "buzz_position", "value")
     )
 
 
+def buzz_rows(t: Tables) -> DataFrame:
+    """One row per buzz with a player and a game; the tournament is the game's."""
+    return _described(t, _placed(t))
+
+
 def buzz_info(t: Tables) -> DataFrame:
-    """buzz_rows without repeats and without buzzes that have no position. The position is part of the key, so the filter comes first."""
-    rows = keep_first(buzz_rows({**t, "buzz": t["buzz"].where("buzz_position is not null")}), ["player_id", "tossup_id", "buzz_position"])
-    return rows.withColumn("buzz_position", F.col("buzz_position").cast("int"))
+    """buzz_rows without repeats and without buzzes that have no position.
+
+    The position is part of the key, so the filter comes first; players and tossups only depend on the key, so their
+    columns, the texts among them, are joined after the repeats are gone.
+    """
+    kept = keep_first(_placed({**t, "buzz": t["buzz"].where("buzz_position is not null")}), ["player_id", "tossup_id", "buzz_position"])
+    return _described(t, kept.withColumn("buzz_position", F.col("buzz_position").cast("int")))
