@@ -79,6 +79,19 @@ def test_near_duplicates(spark, monkeypatch):
     assert neardup.pairs(df.limit(0), "id", "t").count() == 0
 
 
+def test_no_pair_at_the_threshold_is_lost(spark):
+    import random
+
+    rng = random.Random(5)
+    word = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=n))
+    rows = []
+    for k in range(1500):
+        one = word(200)
+        rows += [(2 * k, one), (2 * k + 1, one[:159] + word(41))]  # 155 of 237 substrings in common
+    out = neardup.pairs(spark.createDataFrame(rows, "id bigint, t string"), "id", "t")
+    assert got(out) == sorted([(2 * k, 2 * k + 1) for k in range(1500)], key=str)
+
+
 T_SCHEMA, P_SCHEMA = "id bigint, name string, tournament_id bigint, form string", "id bigint, team_id bigint, name string, entity string"
 
 
