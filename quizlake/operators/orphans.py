@@ -7,7 +7,8 @@ batch of new references, arriving parents and deletions, in whatever order they
   as an orphan (reason ``missing`` or ``late``);
 * arriving parents resolve the waiting orphans of their key. A parent that turns out to be older than the reference
   withdraws the orphan: it was never one;
-* deletions reopen the references to the deleted parent (reason ``deleted``) until the parent arrives again.
+* deletions reopen the references to the deleted parent (reason ``deleted``) until the parent arrives again; a reference
+  recorded after the deletion is ``missing``.
 
 Defined results: null keys are no references; a reference without a record time is an orphan only while its parent is
 missing, and its period is ``unknown``; equal times are no orphan; a parent without an arrival time counts as always
@@ -20,7 +21,7 @@ that can hold an orphan go back to the rows, salted.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Iterator, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -39,11 +40,12 @@ KEY = ["parent_table", "key"]
 
 @dataclass
 class OrphanState:
-    """parents: parent_table, key, loaded_at, deleted_at. pending: the orphans, open or resolved."""
+    """parents: parent_table, key, loaded_at. deleted: parent_table, key, deleted_at. pending: the orphans, open or resolved."""
 
     parents: DataFrame | None = None
     pending: DataFrame | None = None
     references: DataFrame | None = None
+    deleted: DataFrame | None = None
 
 
 def period(time: Column) -> Column:
@@ -84,12 +86,12 @@ def deletions(log: DataFrame) -> DataFrame:
 
 
 def _index(arrivals: DataFrame) -> DataFrame:
-    """Earliest arrival of each key; a parent without a time was always there, so its arrival stays null."""
+    """Earliest and last arrival of each key; a parent without a time was always there, so its arrival stays null."""
     return (
         arrivals.where("key is not null")
         .groupBy(*KEY)
-        .agg(F.min("loaded_at").alias("first_at"), F.bool_or(F.col("loaded_at").isNull()).alias("always"))
-        .select(*KEY, F.when(~F.col("always"), F.col("first_at")).alias("loaded_at"), F.lit(True).alias("present"))
+        .agg(F.min("loaded_at").alias("first_at"), F.max("loaded_at").alias("last_at"), F.bool_or(F.col("loaded_at").isNull()).alias("always"))
+        .select(*KEY, F.when(~F.col("always"), F.col("first_at")).alias("loaded_at"), "last_at", F.lit(True).alias("present"))
     )
 
 
@@ -103,16 +105,23 @@ def _rows_of(refs: DataFrame, keys: DataFrame) -> DataFrame:
     return salted.join(_salted(keys), [*KEY, "salt"]).drop("salt")
 
 
-def probe(refs: DataFrame, index: DataFrame) -> DataFrame:
-    """References that are orphans against ``index`` (parent_table, key, loaded_at, present)."""
-    touched = refs.groupBy(*KEY).agg(F.min("recorded_at").alias("first_ref"))
+def _gone(index: DataFrame, deleted: DataFrame) -> DataFrame:
+    """The deleted keys that no parent has arrived for since: parent_table, key, deleted_at."""
+    last = deleted.groupBy(*KEY).agg(F.max("deleted_at").alias("deleted_at"))
+    return last.join(index.select(*KEY, "last_at"), KEY, "left").where(F.col("last_at").isNull() | (F.col("last_at") <= F.col("deleted_at"))).select(*KEY, "deleted_at")
+
+
+def probe(refs: DataFrame, index: DataFrame, gone: DataFrame | None = None) -> DataFrame:
+    """References that are orphans against ``index`` (parent_table, key, loaded_at, present) without the keys ``gone`` before them."""
+    touched = refs.groupBy(*KEY).agg(F.min("recorded_at").alias("first_ref"), F.max("recorded_at").alias("last_ref")).join(index, KEY, "left")
+    touched = touched.withColumn("deleted_at", F.lit(None).cast("timestamp_ntz")) if gone is None else touched.join(gone, KEY, "left")
     suspects = (
-        touched.join(index, KEY, "left")
-        .where(F.col("present").isNull() | (F.col("loaded_at") > F.col("first_ref")))
-        .select(*KEY, "loaded_at", F.col("present").isNull().alias("missing"))
+        touched.where(F.col("present").isNull() | (F.col("loaded_at") > F.col("first_ref")) | (F.col("deleted_at") < F.col("last_ref")))
+        .select(*KEY, "loaded_at", "deleted_at", F.col("present").isNull().alias("absent"))
     )
     return (
         _rows_of(refs, suspects)
+        .withColumn("missing", F.col("absent") | F.coalesce(F.col("recorded_at") > F.col("deleted_at"), F.lit(False)))
         .where(F.col("missing") | (F.col("loaded_at") > F.col("recorded_at")))
         .select(
             "table_name", "field_name", "row_id", *KEY, "recorded_at",
@@ -139,15 +148,20 @@ def resolve(pending: DataFrame, arrived: DataFrame) -> DataFrame:
     )
 
 
-def reopen(refs: DataFrame, pending: DataFrame, deleted: DataFrame, index: DataFrame) -> DataFrame:
-    """References whose parent was deleted and is not there now; those already waiting stay as they are."""
-    gone = deleted.join(index.select(*KEY, "loaded_at", "present"), KEY, "left").where(F.col("present").isNull() | (F.col("loaded_at") <= F.col("deleted_at"))).select(*KEY, "deleted_at")
+def reopen(refs: DataFrame, pending: DataFrame, gone: DataFrame) -> DataFrame:
+    """References whose parent is ``gone``, missing if they were recorded after that; those already waiting stay as they are."""
     waiting = pending.where(F.col("resolved_at").isNull()).select("table_name", "field_name", "row_id").distinct()
+    after = F.coalesce(F.col("recorded_at") > F.col("deleted_at"), F.lit(False))
     return (
         _rows_of(refs, gone)
         .join(waiting, ["table_name", "field_name", "row_id"], "left_anti")
-        .select("table_name", "field_name", "row_id", *KEY, "recorded_at", F.lit("deleted").alias("reason"), F.col("deleted_at").alias("opened_at"), F.lit(None).cast("timestamp_ntz").alias("resolved_at"))
-    )
+        .select(
+            "table_name", "field_name", "row_id", *KEY, "recorded_at",
+            F.when(after, "missing").otherwise("deleted").alias("reason"),
+            F.greatest("deleted_at", "recorded_at").alias("opened_at"),
+            F.lit(None).cast("timestamp_ntz").alias("resolved_at"),
+        )
+    )
 
 
 def advance(state: OrphanState, refs: DataFrame, arrivals: DataFrame, deleted: DataFrame | None = None) -> OrphanState:
@@ -155,27 +169,47 @@ def advance(state: OrphanState, refs: DataFrame, arrivals: DataFrame, deleted: D
     arrived = _index(arrivals)
     known = arrivals if state.parents is None else state.parents.unionByName(arrivals)
     index = _index(known)
-    pending = probe(refs, index)
+    logged = state.deleted if deleted is None else deleted if state.deleted is None else state.deleted.unionByName(deleted)
+    gone = None if logged is None else cut(_gone(index, logged))
+    pending = probe(refs, index, gone)
     if state.pending is not None:
         pending = resolve(state.pending, arrived).unionByName(pending)
     seen = refs if state.references is None else state.references.unionByName(refs)
+    pending = cut(pending)
     if deleted is not None:
-        pending = pending.unionByName(reopen(seen, pending, deleted, index))
-    return OrphanState(known, cut(pending), seen)
+        pending = pending.unionByName(cut(reopen(seen, pending, gone.join(deleted.select(*KEY), KEY, "left_semi"))))
+    return OrphanState(known, pending, seen, logged)
+
 
+def states(tables: Mapping[str, DataFrame], cuts: Iterable = (), specs: Iterable = REFERENCES, log: DataFrame | None = None) -> Iterator[OrphanState]:
+    """The state after each batch of the tables, cut at the given times (rows without a time come with the first batch).
 
-def replay(tables: Mapping[str, DataFrame], cuts: Iterable = (), specs: Iterable = REFERENCES) -> OrphanState:
-    """The tables as batches of arrivals, cut at the given times (rows without a time come with the first batch)."""
-    refs, arrivals = references(tables, specs), parents(tables, specs)
+    ``log`` is a deletion log. A logged key that is not among the parents' rows was there until it was deleted; one that
+    is among them was restored, and its row tells since when it is there.
+    """
+    refs, arrivals, deleted = references(tables, specs), parents(tables, specs), None
+    if log is not None:
+        names = sorted({p for _, _, keys in specs for p in keys.values()})
+        deleted = cut(deletions(log).where(F.col("parent_table").isin(names)).join(arrivals.select(*KEY), KEY, "left_anti"))
+        arrivals = arrivals.unionByName(deleted.select(*KEY, F.lit(None).cast("timestamp_ntz").alias("loaded_at")))
     state, low = OrphanState(), None
-    bounds = [*cuts, None]
-    for high in bounds:
+    for high in [*cuts, None]:
         def within(c: str, low=low, high=high) -> Column:
             own = F.lit(True) if low is None else F.col(c) >= F.lit(low)
             own = own if high is None else own & (F.col(c) < F.lit(high))
             return F.coalesce(own, F.lit(low is None))
-        state = advance(state, refs.where(within("recorded_at")), arrivals.where(within("loaded_at")))
+        batch = refs.where(within("recorded_at")), arrivals.where(within("loaded_at")), None if log is None else deleted.where(within("deleted_at"))
+        state = advance(state, *batch)
+        # the same rows as the batches so far, read in one scan
+        state = OrphanState(arrivals.where(within("loaded_at", low=None)), state.pending, refs.where(within("recorded_at", low=None)), None if log is None else deleted.where(within("deleted_at", low=None)))
+        yield state
         low = high
+
+
+def replay(tables: Mapping[str, DataFrame], cuts: Iterable = (), specs: Iterable = REFERENCES, log: DataFrame | None = None) -> OrphanState:
+    """The state after the last of the batches (``states``)."""
+    for state in states(tables, cuts, specs, log):
+        pass
     return state
 
 

@@ -68,3 +68,26 @@ def test_deletions_reopen_and_arrivals_resolve(spark):
     assert {(r.row_id, r.reason, r.resolved_at) for r in three.pending.collect()} == {(2, "late", t(2)), (1, "deleted", t(12)), (2, "deleted", t(12))}
     counts = {r.period: (r.n_cases, r.n_open, r.n_late, r.n_reopened) for r in orphans.snapshot(three).collect()}
     assert counts == {"2024-01": (1, 0, 1, 2)}
+
+
+def test_logged_deletions_reopen_in_the_batches(spark):
+    child = [(1, 5, None, 3), (2, 5, None, 30), (3, 6, None, 3), (4, 7, None, 3), (5, 5, None, None), (6, 5, None, 9)]
+    f = frames(spark, child, [(6, 1)], [])
+    log = spark.createDataFrame([("a", 5, t(8)), ("a", 5, t(9)), ("a", 6, t(9)), ("z", 7, t(9))], "table_name string, row_id bigint, deleted_at timestamp_ntz")
+    want = {(1, "deleted"), (5, "deleted"), (6, "deleted"), (2, "missing"), (4, "missing")}  # 6 was restored
+    for cuts in ([], [t(5)], [t(5), t(9), t(20)]):
+        after = [{(r.row_id, r.reason) for r in s.pending.collect()} for s in orphans.states(f, cuts, SPECS, log)]
+        assert after[-1] == want
+        if len(cuts) == 3:
+            assert after[:3] == [{(4, "missing")}, {(4, "missing")}, want - {(2, "missing")}]
+
+
+def test_snapshots_count_reopened(spark):
+    from quizlake.plans import problems
+
+    sf = "/root/testdata/sf0.001"
+    last = problems.p5_snapshots(spark, sf).collect()
+    assert sum(r.n_reopened for r in last) > 0
+    end = max(r.year for r in last)
+    total = {(r.table_name, r.field_name, r.period): r.n_cases + r.n_reopened for r in last if r.year == end}
+    assert total == {(r.table_name, r.field_name, r.period): r.n_cases for r in problems.p5_counts(spark, sf).collect()}
