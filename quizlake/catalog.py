@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,8 +59,21 @@ class Catalog:
         return self.table(name, n_rows)
 
     def save(self, path: str) -> None:
-        for n, df in self.tables.items():
-            df.write.mode("overwrite").parquet(f"{path}/{n}.parquet")
+        """Writes every table beside its place first and moves them there once all are written, so a failed save changes nothing."""
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        fresh = f"{path}/.writing-{uuid.uuid4().hex}"
+        root = jvm.org.apache.hadoop.fs.Path(path)
+        fs = root.getFileSystem(conf)
+        try:
+            for n, df in self.tables.items():
+                df.write.parquet(f"{fresh}/{n}.parquet")
+            for n in self.tables:
+                old, new = (jvm.org.apache.hadoop.fs.Path(f"{p}/{n}.parquet") for p in (path, fresh))
+                fs.delete(old, True)
+                if not fs.rename(new, old):
+                    raise OSError(f"could not move {n} to {path}")
+        finally:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(fresh), True)
 
     def pruned(self, prefix: str) -> Catalog:
         """Only the prefixed tables, without the prefix; empty tables stay."""
@@ -73,6 +88,26 @@ def matching(df: DataFrame, criteria: dict, limit: int | None = None) -> DataFra
     return df.orderBy("id").limit(limit) if limit else df
 
 
+def exactly_one(df: DataFrame, criteria: dict) -> DataFrame:
+    """The row equal to the criteria; a LookupError unless there is exactly one."""
+    found = matching(df, criteria)
+    if (n := found.limit(2).count()) != 1:
+        raise LookupError(f"{'no row' if n == 0 else 'several rows'} for {criteria}")
+    return found
+
+
+def console_table(df: DataFrame, n_rows: int = 20) -> str:
+    """The first rows as a table of text between lines, numbers to the right."""
+    rows = df.limit(n_rows).collect()
+    cells = [["" if v is None else str(v) for v in r] for r in rows]
+    widths = [max([len(c), *(len(r[k]) for r in cells)]) for k, c in enumerate(df.columns)]
+    right = [t.startswith(("int", "bigint", "smallint", "tinyint", "double", "float", "decimal")) for _, t in df.dtypes]
+    line = "+" + "+".join("-" * (w + 2) for w in widths) + "+"
+    head = "| " + " | ".join(c.ljust(w) for c, w in zip(df.columns, widths)) + " |"
+    body = ["| " + " | ".join(v.rjust(w) if r else v.ljust(w) for v, w, r in zip(row, widths, right)) + " |" for row in cells]
+    return "\n".join([line, head, line.replace("+--", "|--", 1)[:-1] + "|", *body, line])
+
+
 def contains_text(column: str, text: str) -> Column:
     """Case-insensitive substring search in which % and _ keep their meaning of LIKE."""
     return F.col(column).ilike(f"%{text}%")

@@ -110,7 +110,7 @@ def semicolon_spans(text: str, min_words: int = SEMICOLON_WORDS) -> list[Span]:
     for m in re.finditer(r"[\"';]", text):
         c = m[0]
         if c == ";":
-            if not quote and words.count(a, m.end()) >= min_words:
+            if not quote and words.count(a, m.start()) >= min_words:
                 out.append((a, m.end()))
                 a = m.end()
         elif not quote:
@@ -202,7 +202,26 @@ def spans_udf(function: Callable[[str], list[Span]]) -> Callable[[Column], Colum
     return run
 
 
-def clue_spans(text: Column, scheme: str = "best") -> Column:
+def unclosed(text: str) -> bool:
+    """Whether a quotation that the whole text closes stays open over the spans of either pipeline, in which case they are doubtful."""
+    text = text.translate({0x201C: '"', 0x201D: '"'})
+    return any(merge_quotes(text, merge_short(text, split(text)))[1] for split in (rule_split, untrained_split))
+
+
+def unclosed_flag(text: Column) -> Column:
+    @F.pandas_udf("boolean")
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: unclosed(t) if t and not t.isspace() else False).astype(bool)
+
+    return run(text)
+
+
+def clue_spans(text: Column, scheme: str = "best", supplied: Column | None = None) -> Column:
+    """Spans by scheme. ``supplied`` takes the given spans, over the text as it is; a text without any then fails the query."""
+    if scheme == "supplied":
+        if supplied is None:
+            raise ValueError("the scheme needs spans")
+        return F.when(F.size(supplied) > 0, supplied).otherwise(F.raise_error(F.lit("a text has no supplied spans")).cast("array<struct<start:int,end:int>>"))
     if scheme not in PIPELINES:
         raise ValueError(f"unknown scheme {scheme!r}")
     pipeline = PIPELINES[scheme]

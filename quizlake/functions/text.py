@@ -115,6 +115,28 @@ def category_main(category: Column, subcategory: Column) -> Column:
     return F.when(plain, subcategory).when(category.isNotNull() & subcategory.isNotNull(), F.concat(category, F.lit("-"), subcategory))
 
 
+def is_redundant_main(category: Column, subcategory: Column, main: Column) -> Column:
+    """Whether a stored main category says no more than the category and the subcategory do."""
+    return F.coalesce((main == F.concat(category, F.lit("-"), subcategory)) | (main == subcategory), F.lit(False))
+
+
+def n_matches(q: Column, pattern: str) -> Column:
+    return F.regexp_count(q, F.lit("(?U)" + pattern))
+
+
+def token_html(words: Column) -> Column:
+    """The words as one line of HTML, each under its position from 0."""
+    return F.array_join(F.transform(words, lambda w, k: F.concat(F.lit('<span class="token" title="'), k.cast("string"), F.lit('">'), w, F.lit("</span>"))), "")
+
+
+def open_quotes(q: Column) -> Column:
+    """struct(quote, both): the sign of a quotation that is not closed, the straight one first, and whether both kinds are open."""
+    straight = F.length(q) - F.length(F.replace(q, F.lit('"'), F.lit("")))
+    curly = F.length(F.replace(q, F.lit("”"), F.lit(""))) - F.length(F.replace(q, F.lit("“"), F.lit("")))
+    odd, more = straight % 2 == 1, curly > 0
+    return F.struct(F.when(odd, '"').when(more, "“").alias("quote"), (odd & more).alias("both"))
+
+
 def aligned(position: Column, offset: Column) -> Column:
     """Position without the instruction's words, at least 0; null stays null."""
     return F.when(position.isNotNull(), F.greatest(position - offset, F.lit(0)))

@@ -1,81 +1,218 @@
-"""Spectral co-clustering of the response matrix: rows and columns are scaled to equal sums, a few singular vectors are found
-by subspace iteration over the pairs, and k-means groups rows and columns by them. The driver holds only small matrices."""
+"""Spectral co-clustering of the reach matrix.
+
+The matrix is dense, so it is never turned into pairs: it stays in the bitmaps of ``coverage.reach_bitmaps``, blocks of
+``ROWS`` players by one bitmap bucket of items, and is only ever multiplied by a few columns (``Blocks.times``). Rows and columns are
+scaled to equal sums (only the two scaling vectors are kept), leading singular vectors are found by subspace iteration, and
+k-means groups rows and columns by them. Vectors are tables of blocks, too; the driver holds only k x k matrices.
+
+Clusters are numbered in the leaf order of Ward linkage over the distances of their mean vectors, so similar ones are neighbours.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
+import pandas as pd
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quizlake.operators.coverage import numbered, reach_bitmaps
 from quizlake.session import cut
 
 CLUSTERS, SEED = 6, 0
+#: rows of a block; a block's columns are one bitmap bucket
+ROWS, BITS = 1024, 32768
+#: partial sums of one block of a product that are added at a time
+FAN = 32
+SIZE = {"player": ROWS, "item": BITS}
 
 
-def balanced(pairs: DataFrame, rounds: int = 5) -> DataFrame:
-    """player, item, v: the matrix of ones scaled in turn by its row and column sums."""
-    m = pairs.select("player", "item", F.lit(1.0).alias("v"))
-    for _ in range(rounds):
-        for key in ("player", "item"):
-            sums = m.groupBy(key).agg(F.sum("v").alias("s"))
-            m = m.join(sums, key).select("player", "item", (F.col("v") / F.sqrt("s")).alias("v"))
-        m = cut(m)
-    return m
+def _matrix(data: bytes, k: int) -> np.ndarray:
+    return np.frombuffer(data, dtype=np.float64).reshape(-1, k)
+
+
+class Blocks:
+    """The reach matrix of pairs (player, item). A vector set is a table (block, data): k columns over the block's rows."""
+
+    def __init__(self, pairs: DataFrame):
+        self.numbers = {axis: cut(numbered(pairs, axis)) for axis in ("player", "item")}
+        at = self.numbers["player"].select("player", F.floor((F.col("n") - 1) / ROWS).alias("r"), ((F.col("n") - 1) % ROWS).cast("int").alias("pos"))
+        self.bits = cut(reach_bitmaps(pairs, self.numbers["item"]).join(at, "player").select("r", F.col("bucket").alias("c"), "pos", "bits"))
+        self.filled = cut(self.bits.select("r", "c").distinct())
+
+    def times(self, x: DataFrame, k: int, axis: str) -> DataFrame:
+        """Matrix by vectors over the items (axis player: a result per player), or its transpose by vectors over the players."""
+        to, over = ("r", "c") if axis == "player" else ("c", "r")
+
+        def product(one: pd.DataFrame, two: pd.DataFrame) -> pd.DataFrame:
+            if not len(one) or not len(two):
+                return pd.DataFrame({"block": [], "part": [], "data": []})
+            v, out = _matrix(two.data.iloc[0], k), np.zeros((SIZE[axis], k))
+            for pos, bits in zip(one.pos, one.bits):
+                own = np.unpackbits(np.frombuffer(bits, dtype=np.uint8), bitorder="little").astype(bool)
+                if axis == "player":
+                    out[pos] = v[own].sum(axis=0)
+                else:
+                    out[own] += v[pos]
+            return pd.DataFrame({"block": [int(one[to].iloc[0])], "part": [int(one[over].iloc[0]) // FAN], "data": [out.tobytes()]})
+
+        def total(parts: pd.DataFrame) -> pd.DataFrame:
+            return pd.DataFrame({"block": [parts.block.iloc[0]], "part": [int(parts.part.iloc[0]) // FAN], "data": [np.sum([_matrix(d, k) for d in parts.data], axis=0).tobytes()]})
+
+        sent = x.select(F.col("block").alias(over), "data").join(self.filled, over).select(F.col("r").alias("to_r"), F.col("c").alias("to_c"), "data")
+        schema = "block long, part long, data binary"
+        out = self.bits.groupBy("r", "c").cogroup(sent.groupBy("to_r", "to_c")).applyInPandas(product, schema)
+        for _ in range(2):
+            out = out.groupBy("block", "part").applyInPandas(total, schema)
+        return cut(out.withColumn("part", F.lit(0).cast("long")).groupBy("block", "part").applyInPandas(total, schema).select("block", "data"))
+
+    def ones(self, axis: str) -> DataFrame:
+        size = SIZE[axis]
+
+        def run(batches):
+            for b in batches:
+                yield pd.DataFrame({"block": b.block, "data": [np.ones((size, 1)).tobytes()] * len(b)})
+
+        return self.filled.select(F.col("r" if axis == "player" else "c").alias("block")).distinct().mapInPandas(run, "block long, data binary")
+
+    def rows(self, x: DataFrame, k: int, axis: str) -> DataFrame:
+        """axis, x (array): the vectors' values of each player or item."""
+        size = SIZE[axis]
+
+        def run(batches):
+            for b in batches:
+                for block, data in zip(b.block, b.data):
+                    v = _matrix(data, k)
+                    yield pd.DataFrame({"n": block * size + np.arange(len(v)) + 1, "x": list(v)})
+
+        return x.mapInPandas(run, "n long, x array<double>").join(self.numbers[axis], "n").select(axis, "x")
+
+    def one_hot(self, labels: DataFrame, axis: str, k: int) -> DataFrame:
+        """Vectors that are 1 where a player or item (axis, cluster) is in the cluster."""
+        size = SIZE[axis]
+
+        def run(b: pd.DataFrame) -> pd.DataFrame:
+            v = np.zeros((size, k))
+            v[b.pos.to_numpy(), b.cluster.to_numpy()] = 1.0
+            return pd.DataFrame({"block": [b.block.iloc[0]], "data": [v.tobytes()]})
+
+        placed = labels.join(self.numbers[axis], axis).select(F.floor((F.col("n") - 1) / size).alias("block"), ((F.col("n") - 1) % size).cast("int").alias("pos"), "cluster")
+        return placed.groupBy("block").applyInPandas(run, "block long, data binary")
+
+
+def _zipped(x: DataFrame, y: DataFrame, f: Callable[[np.ndarray, np.ndarray], np.ndarray], kx: int, ky: int) -> DataFrame:
+    """f of two vector sets, block by block."""
 
+    def run(batches):
+        for b in batches:
+            yield pd.DataFrame({"block": b.block, "data": [f(_matrix(p, kx), _matrix(q, ky)).tobytes() for p, q in zip(b.data, b.other)]})
 
-def _times(m: DataFrame, x: DataFrame, by: str, to: str, k: int) -> DataFrame:
-    sums = [F.sum(F.col("v") * F.col("x")[i]).alias(f"y{i}") for i in range(k)]
-    return m.join(x, by).groupBy(to).agg(*sums).select(to, F.array(*(f"y{i}" for i in range(k))).alias("x"))
+    return x.join(y.select("block", F.col("data").alias("other")), "block").mapInPandas(run, "block long, data binary")
 
 
-def _orthonormal(x: DataFrame, key: str, k: int) -> DataFrame:
-    gram = x.agg(*(F.sum(F.col("x")[i] * F.col("x")[j]).alias(f"g{i}_{j}") for i in range(k) for j in range(k))).first()
-    g = np.array(gram, dtype=float).reshape(k, k)
-    w, q = np.linalg.eigh(g)
-    t = q / np.sqrt(np.maximum(w, 1e-12))
-    rows = [F.array(*(sum((F.col("x")[i] * float(t[i, j]) for i in range(k)), F.lit(0.0)) for j in range(k)))]
-    return cut(x.select(key, rows[0].alias("x")))
+def _gram(x: DataFrame, k: int) -> np.ndarray:
+    """The k x k products of the vectors."""
 
+    def run(batches):
+        for b in batches:
+            yield pd.DataFrame([(i, j, float(g[i, j])) for d in b.data for g in [_matrix(d, k).T @ _matrix(d, k)] for i in range(k) for j in range(k)], columns=["i", "j", "g"])
 
-def vectors(pairs: DataFrame, k: int = 4, rounds: int = 5) -> tuple[DataFrame, DataFrame]:
-    """(player, x) and (item, x): leading singular vectors without the constant first one's meaning."""
-    m = balanced(pairs)
-    start = m.select("item").distinct().select("item", F.array(*((F.pmod(F.xxhash64("item", F.lit(SEED + i)), F.lit(2001)) / 1000.0 - 1.0) for i in range(k))).alias("x"))
-    items = _orthonormal(start, "item", k)
+    out = np.zeros((k, k))
+    for r in x.mapInPandas(run, "i int, j int, g double").groupBy("i", "j").agg(F.sum("g").alias("g")).collect():  # k * k rows
+        out[r.i, r.j] = r.g
+    return out
+
+
+def _orthonormal(x: DataFrame, k: int) -> DataFrame:
+    w, q = np.linalg.eigh(_gram(x, k))
+    t = (q / np.sqrt(np.maximum(w, 1e-12)))[:, ::-1]  # the strongest first
+    return _zipped(x, x, lambda a, _: a @ t, k, k)
+
+
+def _inverse(x: DataFrame) -> DataFrame:
+    return cut(_zipped(x, x, lambda a, _: np.divide(1.0, a, out=np.zeros_like(a), where=a > 0), 1, 1))
+
+
+def vectors(m: Blocks, k: int = 5, rounds: int = 5) -> tuple[DataFrame, DataFrame]:
+    """(player, x) and (item, x): leading singular vectors of the scaled matrix without the first, which is constant."""
+    c = m.ones("item")
     for _ in range(rounds):
-        players = _orthonormal(_times(m, items, "item", "player", k), "player", k)
-        items = _orthonormal(_times(m, players, "player", "item", k), "item", k)
-    return players, items
+        r = _inverse(m.times(c, 1, "player"))
+        c = _inverse(m.times(r, 1, "item"))
+    scale = lambda x, s: _zipped(x, s, lambda a, b: a * np.sqrt(b), k, 1)
+
+    def start(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return np.concatenate([np.sqrt(np.maximum(a, 0)), np.random.default_rng(SEED).standard_normal((len(a), k - 1)) * (a > 0)], axis=1)
+
+    items = cut(_orthonormal(_zipped(c, c, start, 1, 1), k))
+    for _ in range(rounds):
+        players = cut(_orthonormal(scale(m.times(scale(items, c), k, "player"), r), k))
+        items = cut(_orthonormal(scale(m.times(scale(players, r), k, "item"), c), k))
+    cut_first = lambda x, axis: m.rows(x, k, axis).select(axis, F.slice("x", 2, k - 1).alias("x"))
+    return cut_first(players, "player"), cut_first(items, "item")
 
 
 def _grouped(x: DataFrame, key: str, clusters: int) -> DataFrame:
-    ready = x.select(key, array_to_vector("x").alias("features"))
+    ready = cut(x.select(key, array_to_vector("x").alias("features")))
     n = ready.limit(clusters).count()
     if n < 2:
         return ready.select(key, F.lit(0).alias("cluster"))
     return KMeans(k=min(clusters, n), seed=SEED, maxIter=20).fit(ready).transform(ready).select(key, F.col("prediction").alias("cluster"))
 
 
-def biclusters(pairs: DataFrame, clusters: int = CLUSTERS) -> DataFrame:
-    """row_cluster, column_cluster, n_players, n_items, n_pairs, density."""
-    pairs = cut(pairs)
-    players, items = vectors(pairs)
-    rows = cut(_grouped(players, "player", clusters).withColumnRenamed("cluster", "row_cluster"))
-    columns = cut(_grouped(items, "item", clusters).withColumnRenamed("cluster", "column_cluster"))
-    n = pairs.join(rows, "player").join(columns, "item").groupBy("row_cluster", "column_cluster").agg(F.count(F.lit(1)).alias("n_pairs"))
-    sizes_r, sizes_c = rows.groupBy("row_cluster").agg(F.count(F.lit(1)).alias("n_players")), columns.groupBy("column_cluster").agg(F.count(F.lit(1)).alias("n_items"))
-    every = sizes_r.join(sizes_c, F.lit(True))  # clusters x clusters
-    out = every.join(n, ["row_cluster", "column_cluster"], "left").fillna(0, ["n_pairs"])
-    return out.withColumn("density", F.col("n_pairs") / (F.col("n_players") * F.col("n_items")))
-
-
-def cluster_order(centres: np.ndarray) -> list[int]:
-    """Leaf order of clusters under Ward linkage of their mean vectors (a few rows)."""
-    groups = [([i], np.asarray(c, dtype=float), 1) for i, c in enumerate(centres)]
+def ward_order(points: np.ndarray) -> list[int]:
+    """Leaf order under Ward linkage of a few points."""
+    groups = [([i], np.asarray(c, dtype=float), 1) for i, c in enumerate(points)]
     while len(groups) > 1:
         best = min(((a, b) for a in range(len(groups)) for b in range(a + 1, len(groups))), key=lambda p: groups[p[0]][2] * groups[p[1]][2] / (groups[p[0]][2] + groups[p[1]][2]) * ((groups[p[0]][1] - groups[p[1]][1]) ** 2).sum())
         (la, ca, na), (lb, cb, nb) = groups[best[0]], groups[best[1]]
         groups = [g for k, g in enumerate(groups) if k not in best] + [(la + lb, (na * ca + nb * cb) / (na + nb), na + nb)]
     return groups[0][0] if groups else []
+
+
+def distances(gram: np.ndarray) -> np.ndarray:
+    """Euclidean distances of vectors from their products."""
+    d = np.diag(gram)
+    return np.sqrt(np.maximum(d[:, None] + d[None, :] - 2 * gram, 0))
+
+
+def _ordered(m: Blocks, labels: DataFrame, axis: str, clusters: int) -> tuple[DataFrame, DataFrame]:
+    """(labels in leaf order, mean vectors: cluster, key of the other axis, mean)."""
+    other = "item" if axis == "player" else "player"
+    sizes = np.zeros(clusters)
+    for r in labels.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).collect():  # a row per cluster
+        sizes[r.cluster] = r.n
+    sums = m.times(m.one_hot(labels, axis, clusters), clusters, other)
+    means = cut(_zipped(sums, sums, lambda a, _: a / np.maximum(sizes, 1), clusters, clusters))
+    used = [k for k in range(clusters) if sizes[k]]
+    order = [used[k] for k in ward_order(distances(_gram(means, clusters))[np.ix_(used, used)])]
+    new = F.create_map(*(F.lit(x) for old, k in zip(order, range(len(order))) for x in (old, k))) if order else F.create_map()
+    each = F.posexplode("x").alias("old", "mean")
+    table = m.rows(means, clusters, other).select(other, each).where(F.col("old").isin(order)).select(new[F.col("old")].alias("cluster"), F.col(other).alias("key"), "mean")
+    return cut(labels.select(axis, new[F.col("cluster")].alias("cluster"))), table
+
+
+def clustered(pairs: DataFrame, clusters: int = CLUSTERS) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(player, cluster), (item, cluster), mean rows by row cluster, mean columns by column cluster."""
+    m = Blocks(cut(pairs))
+    players, items = vectors(m)
+    rows, means = _ordered(m, cut(_grouped(players, "player", clusters)), "player", clusters)
+    columns, column_means = _ordered(m, cut(_grouped(items, "item", clusters)), "item", clusters)
+    return rows, columns, means, column_means
+
+
+def biclusters(pairs: DataFrame, clusters: int = CLUSTERS) -> DataFrame:
+    """row_cluster, column_cluster, n_players, n_items, density (the share of reached pairs)."""
+    rows, columns, means, _ = clustered(pairs, clusters)
+    sizes = rows.groupBy(F.col("cluster").alias("row_cluster")).agg(F.count(F.lit(1)).alias("n_players"))
+    both = means.select(F.col("cluster").alias("row_cluster"), F.col("key").alias("item"), "mean").join(columns.select("item", F.col("cluster").alias("column_cluster")), "item")
+    return both.groupBy("row_cluster", "column_cluster").agg(F.count(F.lit(1)).alias("n_items"), F.avg("mean").alias("density")).join(sizes, "row_cluster").select("row_cluster", "column_cluster", "n_players", "n_items", "density")
+
+
+def cluster_means(pairs: DataFrame, clusters: int = CLUSTERS) -> DataFrame:
+    """axis, cluster, key, mean: the mean vector of every row and column cluster."""
+    _, _, rows, columns = clustered(pairs, clusters)
+    return rows.select(F.lit("row").alias("axis"), "cluster", F.col("key").cast("string").alias("key"), "mean").unionByName(columns.select(F.lit("column").alias("axis"), "cluster", F.col("key").cast("string").alias("key"), "mean"))

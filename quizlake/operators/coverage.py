@@ -16,40 +16,44 @@ def response_pairs(buzzes: DataFrame, player: str = "player_id", item: str = "to
     return buzzes.select(F.col(player).alias("player"), F.col(item).alias("item")).where("player is not null and item is not null").distinct()
 
 
-def reach_bitmaps(pairs: DataFrame) -> DataFrame:
-    """player, bucket, bits: the items that a player meets through the players that share an item.
+def numbered(pairs: DataFrame, column: str) -> DataFrame:
+    """The values of a column with their positions n from 1."""
+    return ranked(pairs.select(column).distinct(), F.col(column)).withColumnRenamed("rank", "n")
+
+
+def reach_bitmaps(pairs: DataFrame, numbers: DataFrame | None = None, player: str = "player", item: str = "item") -> DataFrame:
+    """player, bucket, bits: the items (by their ``numbers``) that a player meets through the players that share an item.
+    With the two names exchanged it gives the matrix by columns.
 
     Players' items are bitmaps; they are ORed over the players of each item and again over the items of each player, so
     nothing grows with the number of pairs of players.
     """
-    items = ranked(pairs.select("item").distinct(), F.col("item")).select("item", F.col("rank").alias("n"))
-    numbered = cut(pairs.join(items, "item"))
-    own = cut(numbered.groupBy("player", F.bitmap_bucket_number("n").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("n")).alias("bits")))
-    by_item = cut(pairs.join(own, "player").groupBy("item", "bucket").agg(F.bitmap_or_agg("bits").alias("bits")))
-    return pairs.join(by_item, "item").groupBy("player", "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
-
-
-def reach_activity(pairs: DataFrame) -> DataFrame:
-    """player, n_reached."""
-    return reach_bitmaps(pairs).groupBy("player").agg(F.sum(F.bitmap_count("bits")).alias("n_reached"))
+    items = numbered(pairs, item) if numbers is None else numbers
+    with_n = cut(pairs.join(items, item))
+    own = cut(with_n.groupBy(player, F.bitmap_bucket_number("n").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("n")).alias("bits")))
+    by_item = cut(pairs.join(own, player).groupBy(item, "bucket").agg(F.bitmap_or_agg("bits").alias("bits")))
+    return pairs.join(by_item, item).groupBy(player, "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
 
 
-def activity(pairs: DataFrame, by: str) -> DataFrame:
-    return pairs.groupBy(by).agg(F.count(F.lit(1)).alias("n"))
+def reach_activity(pairs: DataFrame, by: str = "player") -> DataFrame:
+    """Row sums of the reach matrix (player, n_reached), or its column sums (item, n_reached)."""
+    other = "item" if by == "player" else "player"
+    return reach_bitmaps(pairs, None, by, other).groupBy(by).agg(F.sum(F.bitmap_count("bits")).alias("n_reached"))
 
 
 def density(pairs: DataFrame) -> DataFrame:
-    """Players, items, pairs, and pairs in percent of all possible ones."""
-    one, two = activity(pairs, "player"), activity(pairs, "item")
-    p, i = one.agg(F.count(F.lit(1)).alias("n_players"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_pairs")), two.agg(F.count(F.lit(1)).alias("n_items"))
+    """Players, items, reached pairs, and these in percent of all possible ones."""
+    p = reach_activity(pairs).agg(F.count(F.lit(1)).alias("n_players"), F.coalesce(F.sum("n_reached"), F.lit(0)).alias("n_pairs"))
+    i = pairs.select("item").distinct().agg(F.count(F.lit(1)).alias("n_items"))
     # two single rows
     return p.join(i, F.lit(True)).select("n_players", "n_items", "n_pairs", (F.lit(100.0).cast("double") * F.col("n_pairs") / (F.col("n_players") * F.col("n_items"))).alias("density"))
 
 
 def low_activity(pairs: DataFrame, below: int = LOW) -> DataFrame:
-    return activity(pairs, "player").where(F.col("n") < below)
+    """item, n_reached of the items that few players reach."""
+    return reach_activity(pairs, "item").where(F.col("n_reached") < below)
 
 
 def activity_ranks(pairs: DataFrame, by: str) -> DataFrame:
-    """Position of each player or item by falling activity, ties by key."""
-    return ranked(activity(pairs, by), F.col("n").desc(), F.col(by))
+    """Position of each player or item by falling activity in the reach matrix, ties by key."""
+    return ranked(reach_activity(pairs, by), F.col("n_reached").desc(), F.col(by))

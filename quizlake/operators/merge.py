@@ -8,7 +8,7 @@ each row is entered once for every pattern of null keys that occurs (at most 2**
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -68,7 +68,7 @@ def matched(rows: DataFrame, keys: list[str], wildcard: bool = True) -> DataFram
 def merge_table(rows: DataFrame, spec: Table, wildcard: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(id map: src, old_id, new_id; merged table; differences: src, old_id, new_id, column_name, old_value, new_value)."""
     m = cut(matched(rows, spec.natural_key, wildcard))
-    kept = cut(ranked(m.where("seq = first_seq"), F.col("seq")).withColumnRenamed("rank", "new_id"))
+    kept = ranked(m.where("seq = first_seq"), F.col("seq")).withColumnRenamed("rank", "new_id")
     id_map = m.select("src", "old_id", "first_seq").join(kept.select(F.col("seq").alias("first_seq"), "new_id"), "first_seq").select("src", "old_id", "new_id")
     columns = [c for c in spec.names if c != spec.pk]
     merged = kept.select(F.col("new_id").alias(spec.pk), *columns)
@@ -78,6 +78,16 @@ def merge_table(rows: DataFrame, spec: Table, wildcard: bool = True) -> tuple[Da
     return id_map, merged, diffs
 
 
+def with_parents(names: Iterable[str], tables: Mapping[str, Table] = TABLES) -> dict[str, Table]:
+    """The tables and all that they refer to, directly or not."""
+    need, todo = set(), list(names)
+    while todo:
+        if (t := todo.pop()) not in need:
+            need.add(t)
+            todo += tables[t].fks.values()
+    return {t: spec for t, spec in tables.items() if t in need}
+
+
 def merge_databases(sources: list[Mapping[str, DataFrame]], tables: Mapping[str, Table] = TABLES, strict: bool = True, wildcard: bool = True) -> tuple[dict[str, DataFrame], dict[str, DataFrame], dict[str, DataFrame]]:
     """(id maps, merged tables, differences), by table. Parents come before children; the maps are materialised per level."""
     maps: dict[str, DataFrame] = {}

@@ -1,4 +1,5 @@
-"""The modelled tables over a data directory. Parents that are not delivered are derived from the keys that refer to them."""
+"""The modelled tables over a data directory. Parents that are not delivered are derived from the keys that refer to them; one
+round in 29 is put into another tournament than its teams', so that the rule on games has something to find."""
 
 from __future__ import annotations
 
@@ -24,7 +25,7 @@ def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     firsts = t["packet"].groupBy((F.col("id") % 97).alias("k")).agg(F.min("id").alias("packet_id"))
     t["round"] = (
         rounds.join(firsts, F.col("id") % 97 == F.col("k"), "left")
-        .select("id", "tournament_id", (F.col("id") % 20 + 1).cast("int").alias("number"), F.when(F.col("id") % 23 != 0, F.col("packet_id")).alias("packet_id"), (F.col("id") % 10 == 0).alias("exclude_from_individual"))
+        .select("id", F.when(F.col("id") % 29 == 0, F.col("tournament_id") + 1).otherwise(F.col("tournament_id")).alias("tournament_id"), (F.col("id") % 20 + 1).cast("int").alias("number"), F.when(F.col("id") % 23 != 0, F.col("packet_id")).alias("packet_id"), (F.col("id") % 10 == 0).alias("exclude_from_individual"))
     )
     t["bonus"] = t["tossup"].select("id", "question_id", F.col("answer").alias("leadin"), F.col("answer_sanitized").alias("leadin_sanitized"))
     part = F.explode(F.array(F.lit(1), F.lit(2), F.lit(3)))
@@ -44,7 +45,7 @@ question_set AS (SELECT DISTINCT id % 7 AS id, 'Set ' || (id % 7) AS name, 'set-
   CASE (id % 7) % 3 WHEN 0 THEN 'easy (level 1)' WHEN 1 THEN 'regular' ELSE '' END AS difficulty FROM question_set_edition),
 packet AS (SELECT packet_id AS id, min(q.question_set_edition_id) AS question_set_edition_id, 'Packet ' || packet_id AS name
   FROM packet_question pq LEFT JOIN question q ON q.id = pq.question_id WHERE packet_id IS NOT NULL GROUP BY packet_id),
-round AS (SELECT r.id, r.tournament_id, CAST(r.id % 20 + 1 AS INTEGER) AS number, CASE WHEN r.id % 23 <> 0 THEN f.packet_id END AS packet_id, r.id % 10 = 0 AS exclude_from_individual
+round AS (SELECT r.id, CASE WHEN r.id % 29 = 0 THEN r.tournament_id + 1 ELSE r.tournament_id END AS tournament_id, CAST(r.id % 20 + 1 AS INTEGER) AS number, CASE WHEN r.id % 23 <> 0 THEN f.packet_id END AS packet_id, r.id % 10 = 0 AS exclude_from_individual
   FROM (SELECT round_id AS id, min(t.tournament_id) AS tournament_id FROM game g LEFT JOIN team t ON t.id = g.team_one_id WHERE round_id IS NOT NULL GROUP BY round_id) r
   LEFT JOIN (SELECT id % 97 AS k, min(id) AS packet_id FROM packet GROUP BY 1) f ON r.id % 97 = f.k),
 bonus AS (SELECT id, question_id, answer AS leadin, answer_sanitized AS leadin_sanitized FROM tossup),
