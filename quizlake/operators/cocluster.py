@@ -26,7 +26,7 @@ CLUSTERS, SEED = 6, 0
 #: rows of a block; a block's columns are one bitmap bucket
 ROWS, BITS = 1024, 32768
 #: partial sums of one block of a product that are added at a time
-FAN = 32
+FAN = 128
 SIZE = {"player": ROWS, "item": BITS}
 
 
@@ -65,8 +65,7 @@ class Blocks:
         sent = x.select(F.col("block").alias(over), "data").join(self.filled, over).select(F.col("r").alias("to_r"), F.col("c").alias("to_c"), "data")
         schema = "block long, part long, data binary"
         out = self.bits.groupBy("r", "c").cogroup(sent.groupBy("to_r", "to_c")).applyInPandas(product, schema)
-        for _ in range(2):
-            out = out.groupBy("block", "part").applyInPandas(total, schema)
+        out = out.groupBy("block", "part").applyInPandas(total, schema)
         return cut(out.withColumn("part", F.lit(0).cast("long")).groupBy("block", "part").applyInPandas(total, schema).select("block", "data"))
 
     def ones(self, axis: str) -> DataFrame:
@@ -136,7 +135,7 @@ def _inverse(x: DataFrame) -> DataFrame:
     return cut(_zipped(x, x, lambda a, _: np.divide(1.0, a, out=np.zeros_like(a), where=a > 0), 1, 1))
 
 
-def vectors(m: Blocks, k: int = 5, rounds: int = 5) -> tuple[DataFrame, DataFrame]:
+def vectors(m: Blocks, k: int = 5, rounds: int = 3) -> tuple[DataFrame, DataFrame]:
     """(player, x) and (item, x): leading singular vectors of the scaled matrix without the first, which is constant."""
     c = m.ones("item")
     for _ in range(rounds):
