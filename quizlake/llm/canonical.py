@@ -2,13 +2,14 @@
 
 Distinct values are normalised and looked up in an inverted index of the character n-grams of all known forms: the
 canonical names and slugs, and aliases (``ALIASES``: translations, abbreviations, other names). The candidates are
-scored by weighted cosine, the ``NEAREST`` of them by its mean with the edit similarity (a transposition is one
-edit); the best entry is accepted above ``ACCEPT`` and with ``MARGIN`` over the next entry. Names of
-subjects that are not listed (``OTHERS``) are forms of entry 0, so a value that is nearer to one of them is unmatched.
+scored by the mean of weighted cosine and edit similarity of the whole strings (a transposition is one edit); a candidate
+is passed over only when its cosine and the lengths leave it no chance. The best entry is accepted above ``ACCEPT`` and with
+``MARGIN`` over the next entry.
 
-What the other columns of the rows say is counted over all rows: a value that occurs ``EVIDENCE`` times or more and whose
-rows point to one category is that category, even under an unknown name; one whose rows point everywhere names
-something that is not listed, however close its spelling.
+A name that is not listed may be spelt like one that is. So an accepted value that is no known form is held against what
+the other columns of its rows say, counted over all rows: each row that names the same category speaks for the entry, each
+that names another one against it (``log_odds``), beside the odds that the score gives. This confirms or vetoes what the score has accepted,
+with weights that grow evenly from the first row on; it never maps a value by itself.
 
 A subcategory is scored with its category as context: forms of subcategories under that category are preferred, and a
 bare word of a name (``World``, ``Music``) is one of its forms there.
@@ -33,14 +34,14 @@ from pyspark.sql import functions as F
 from quizlake.session import cut
 
 ACCEPT = 0.46
-NEAREST = 12
 MARGIN = 0.015
-EVIDENCE = 6
-SURE_SHARE = 0.7
-SPREAD_SHARE = 0.5
+#: share of rows in which the other columns name some other category than the one that is meant
+ASTRAY = 0.2
+#: log odds of an accepted value by its score alone: none at ``EVEN``, and so many for each point above it
+EVEN, STEEP = 0.55, 8.0
 SALTS = 16
-#: forms that one broadcast index may hold; longer lists are looked up in blocks
-BLOCK_FORMS = 200_000
+#: distinct values that one task looks up
+VALUES_PER_TASK = 250
 #: the reference list is read whole by the driver; a longer one is refused rather than cut
 MAX_ENTRIES = 20_000
 
@@ -106,13 +107,6 @@ ALIASES = {
     "video-games": "vg, gaming, games",
     "popular-music": "pop music, pop songs, charts",
 }
-#: Subjects and stopgaps that are not listed.
-OTHERS = """histology, biography, heraldry, phrenology, astrology, meteoritics, lexicography, typography, chiromancy, choreography, numismatics, gastronomy,
-culinary, fashion, mixology, philately, potpourri, miscellaneous, misc, unsorted, tbd, n/a, see notes, asdf, to be decided by editor, none, unknown, other, various,
-theology, zoology, geology, geometry, etymology, philology, mineralogy, meteorology, metrology, horology, ornithology, entomology, numerology, graphology,
-cartography, calligraphy, geodesy, hagiography, historiography, pedagogy, physiology, pathology, ecology, theosophy, astronautics, economy, politics, medicine, law, engineering,
-statistics, agriculture, horticulture, cooking, craft, dance, chess, origami, genealogy, cryptography, demography, puppetry, forestry, dentistry, optometry, podiatry, etiquette,
-logistics, aesthetics, kinetics, acoustics, ceramics, oceanography""".replace("\n", " ")
 
 _SPLIT = re.compile(r"\s+[-–—]\s+|\s*[:/>|]\s*")
 
@@ -189,20 +183,29 @@ class Index:
             hit[i] = 1.0
         out: dict[int, float] = {}
         solid = text.replace(" ", "")
-        near = sorted(hit.items(), key=lambda x: (-x[1], x[0]))[: 4 * NEAREST]
-        if not near or near[0][1] < 1.0:
-            near = [(i, (s + 1 - edits(solid[:60], (f := self.forms[i][2].replace(" ", "")[:60])) / max(len(solid[:60]), len(f))) / 2) for i, s in near]
+        near = sorted(hit.items(), key=lambda x: (-x[1], x[0]))
+        exact = bool(near) and near[0][1] >= 1.0
+        best = 0.0
         for i, s in near:
-            entry, p, _ = self.forms[i]
+            entry, p, form = self.forms[i]
+            if not exact:
+                if (s + 1) / 2 < max(best, ACCEPT) - MARGIN:  # nor can any further one come near the best
+                    break
+                f = form.replace(" ", "")
+                longest = max(len(solid), len(f))
+                if (s + min(len(solid), len(f)) / longest) / 2 < max(best, ACCEPT) - MARGIN:
+                    continue
+                s = (s + 1 - edits(solid, f) / longest) / 2
             if parent and p and p != parent:
                 s *= 0.9
             if s > out.get(entry, 0.0):
                 out[entry] = s
+                best = max(best, s)
         return out
 
 
 def forms(entries: list[tuple[int, str, str, str, int | None]], kind: str) -> list[tuple[int, int, str]]:
-    """The forms of one kind's entries (id, kind, name, slug, parent), of their aliases, and of what is not listed."""
+    """The forms of one kind's entries (id, kind, name, slug, parent) and of their aliases."""
     own = [e for e in entries if e[1] == kind]
     words = Counter(w for e in own for w in normal(e[2]).split())
     out = []
@@ -212,8 +215,7 @@ def forms(entries: list[tuple[int, str, str, str, int | None]], kind: str) -> li
         parts = normal(name).split()
         if len(parts) > 1 and kind != "category":
             out += [(e, parent or 0, w) for w in parts]
-    listed = {f.replace(" ", "") for _, _, f in out}
-    return out + [(0, 0, normal(o)) for o in OTHERS.split(",") if normal(o).replace(" ", "") not in listed]
+    return out
 
 
 def readings(value: str, kind: str) -> list[tuple[str, float]]:
@@ -242,23 +244,19 @@ def decide(value: str, kind: str, index: Index, parent: int = 0) -> tuple[int, f
 
 
 def lookup(values: DataFrame, entries: list[tuple], kind: str) -> DataFrame:
-    """values (value, parent) with entry, score, margin; the forms go out in blocks of bounded size."""
-    own = forms(entries, kind)
-    out = None
-    for k in range(0, max(len(own), 1), BLOCK_FORMS):
-        shared = values.sparkSession.sparkContext.broadcast(Index(own[k : k + BLOCK_FORMS]))
-
-        def run(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            for b in batches:
-                got = [decide(v, kind, shared.value, p) for v, p in zip(b["value"], b["parent"])]
-                yield pd.DataFrame({"value": b["value"], "parent": b["parent"], "entry": [g[0] for g in got], "score": [g[1] for g in got], "margin": [g[2] for g in got]})
-
-        one = values.mapInPandas(run, "value string, parent long, entry long, score double, margin double")
-        out = one if out is None else out.unionByName(one)
-    if len(own) > BLOCK_FORMS:  # the best of all blocks; the margin is to the next block's best
-        top = F.sort_array(F.collect_list(F.struct("score", "entry", "margin")), asc=False)
-        out = out.groupBy("value", "parent").agg(top.alias("t")).select("value", "parent", F.col("t")[0]["entry"].alias("entry"), F.col("t")[0]["score"].alias("score"), F.least(F.col("t")[0]["margin"], F.col("t")[0]["score"] - F.col("t")[1]["score"]).alias("margin"))
-    return out
+    """values (value, parent) with entry, score, margin; entry 0 unless it is accepted. The list is bounded, so its index is sent out whole."""
+    values = cut(values)
+    # the work lies in the number of values, not in their bytes
+    tasks = values.count() // VALUES_PER_TASK + 1
+    shared = values.sparkSession.sparkContext.broadcast(Index(forms(entries, kind)))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            got = [decide(v, kind, shared.value, p) for v, p in zip(b["value"], b["parent"])]
+            yield pd.DataFrame({"value": b["value"], "parent": b["parent"], "entry": [g[0] for g in got], "score": [g[1] for g in got], "margin": [g[2] for g in got]})
+
+    found = values.repartition(tasks, "value", "parent").mapInPandas(run, "value string, parent long, entry long, score double, margin double")
+    return cut(found.withColumn("entry", F.when((F.col("score") >= ACCEPT) & (F.col("margin") >= MARGIN), F.col("entry")).otherwise(F.lit(0))))
 
 
 def filled(c: str | Column) -> Column:
@@ -273,26 +271,31 @@ def attach(rows: DataFrame, found: DataFrame, keys: list[str]) -> DataFrame:
     return rows.withColumn("__salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")).join(spread, [*keys, "__salt"], "left").drop("__salt")
 
 
-def accepted() -> Column:
-    return (F.col("score") >= ACCEPT) & (F.col("margin") >= MARGIN)
+def log_odds(n_same: Column, n_all: Column, share: Column) -> Column:
+    """What rows say for an entry: n_same of n_all name its category, which ``share`` of all rows name."""
+    against = math.log(ASTRAY)
+    return n_all * F.lit(against) + n_same * (F.log((1 - ASTRAY) / share + ASTRAY) - F.lit(against))
+
+
+def confirmed(found: DataFrame, counted: DataFrame) -> DataFrame:
+    """value, parent, entry of the found values (with home, the category that their entry stands for), 0 where the rows speak
+    against it. counted: value, hint (the category that other columns name, if any), n."""
+    same = F.lower(F.trim(F.regexp_replace("value", r"(?U)[^\p{L}\p{N}]+", " ")))
+    said = cut(counted.where("hint > 0").groupBy(same.alias("form"), "hint").agg(F.sum("n").alias("n")))
+    shares = said.groupBy("hint").agg(F.sum("n").alias("s")).join(said.agg(F.sum("n").alias("all")), F.lit(True)).select(F.col("hint").alias("home"), (F.col("s") / F.col("all")).alias("share"))  # a row per category
+    rows = found.withColumn("form", same).join(said.groupBy("form").agg(F.sum("n").alias("n_all")), "form", "left")
+    rows = rows.join(said.select("form", F.col("hint").alias("home"), F.col("n").alias("n_same")), ["form", "home"], "left").join(shares, "home", "left")
+    n_all, n_same = F.coalesce("n_all", F.lit(0)), F.coalesce("n_same", F.lit(0))
+    odds = F.lit(STEEP) * (F.col("score") - F.lit(EVEN)) + log_odds(n_same, n_all, F.coalesce("share", F.lit(1.0)))
+    return rows.select("value", "parent", F.when((F.col("score") >= 0.999) | (odds > 0), F.col("entry")).otherwise(F.lit(0)).cast("long").alias("entry"))
 
 
 def _resolve(rows: DataFrame, column: str, entries: list[tuple], kind: str, hint: Column) -> DataFrame:
-    """value -> entry for one column: by its text, then by what the hints of its rows say. rows: id, columns, hint."""
+    """value -> entry for one column: by its text, confirmed by the hints of its rows. rows: id, columns, hint."""
     own = rows.select(F.col(column).alias("value"), hint.alias("hint")).where("value is not null")
     counted = cut(own.groupBy("value", "hint").agg(F.count(F.lit(1)).alias("n")))
     by_text = lookup(counted.select("value", F.lit(0).cast("long").alias("parent")).distinct(), entries, kind)
-    same = F.lower(F.trim(F.regexp_replace("value", r"(?U)[^\p{L}\p{N}]+", " ")))
-    votes = counted.where("hint > 0").groupBy(same.alias("form"), "hint").agg(F.sum("n").alias("n")).groupBy("form").agg(F.max(F.struct("n", "hint")).alias("top"), F.sum("n").alias("of"))
-    votes = votes.where(F.col("of") >= EVIDENCE).select("form", F.col("top.hint").alias("vote"), (F.col("top.n") / F.col("of")).alias("share"))
-    known = F.col("score") >= 0.999
-    entry = (
-        F.when(known, F.col("entry"))
-        .when(F.col("share") >= SURE_SHARE, F.col("vote"))
-        .when(F.col("share") < SPREAD_SHARE, F.lit(0))
-        .otherwise(F.when(accepted(), F.col("entry")).otherwise(F.lit(0)))
-    )
-    return by_text.withColumn("form", same).join(votes, "form", "left").select("value", entry.cast("long").alias("entry"))
+    return confirmed(by_text.withColumn("home", F.col("entry")), counted).select("value", "entry")
 
 
 def map_questions(questions: DataFrame, reference: DataFrame) -> DataFrame:
@@ -319,15 +322,9 @@ def map_questions(questions: DataFrame, reference: DataFrame) -> DataFrame:
     rows = attach(rows, slug.select(F.col("value").alias("category_slug"), F.col("entry").alias("slug_entry")), ["category_slug"])
     rows = cut(rows.withColumn("light", F.coalesce(F.when(F.col("cat_entry") > 0, F.col("cat_entry")), F.when(F.col("slug_entry") > 0, F.col("slug_entry")), F.lit(0)).cast("long")))
     pairs = cut(rows.where("subcategory is not null").groupBy(F.col("subcategory").alias("value"), F.col("light").alias("parent")).agg(F.count(F.lit(1)).alias("n")))
-    subs = lookup(pairs.select("value", "parent"), entries, "subcategory")
-    # a value whose rows lie under many categories though it resembles a subcategory of one names something else
-    under = pairs.where("parent > 0").groupBy("value").agg(F.sum("n").alias("of"), F.max("n").alias("most"))
     owner = {e[0]: e[4] for e in entries if e[1] == "subcategory" and e[4]}
-    homes = subs.select("value", "parent", "entry").join(F.broadcast(small(owner, "entry bigint, home bigint")), "entry", "left")
-    fits = pairs.join(homes.select("value", "parent", "home"), ["value", "parent"]).where("parent > 0").groupBy("value").agg((F.sum(F.when(F.col("home") == F.col("parent"), F.col("n")).otherwise(0)) / F.sum("n")).alias("fit"))
-    subs = subs.join(under, "value", "left").join(fits, "value", "left")
-    stray = (F.col("of") >= EVIDENCE) & (F.col("fit") < SPREAD_SHARE) & (F.col("score") < 0.999)
-    subs = subs.select("value", "parent", F.when(accepted() & ~F.coalesce(stray, F.lit(False)), F.col("entry")).otherwise(F.lit(0)).alias("sub_entry"))
+    subs = lookup(pairs.select("value", "parent"), entries, "subcategory").join(F.broadcast(small(owner, "entry bigint, home bigint")), "entry", "left")
+    subs = confirmed(subs, pairs.select("value", F.col("parent").alias("hint"), "n")).withColumnRenamed("entry", "sub_entry")
     rows = attach(rows, subs.select(F.col("value").alias("subcategory"), F.col("parent").alias("light"), "sub_entry"), ["subcategory", "light"])
     out = rows.select(
         F.col("id").alias("question_id"),
