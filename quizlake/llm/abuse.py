@@ -7,8 +7,10 @@ labels are unknown, so each round takes, in a document labelled abusive, the sen
 abusive one, and all of a document labelled harmless as harmless; documents whose label no sentence bears out (raters
 err) are left aside in later rounds. The scores for this come from models fitted without the document.
 
-Counterfactual regularisation: in every training sentence that names a group the group is swapped for others, and the
-squared change of the score is part of the loss. The mere name of a group so gains no weight of its own.
+Counterfactual regularisation: in every training sentence that names a group the group is swapped for others, in every one
+with a name (of a person, place or group that no list knows) a group stands in for the name, and the squared change of the
+score is part of the loss. So neither the name of a group nor its company gains weight of its own, and what is said of one
+group counts for all.
 
 Bounds: at most ``MAX_LABELLED`` labelled documents are used, those with the least hash of their id; the fitted model
 keeps at most ``MAX_WEIGHTS`` weights. Every document is scored whole.
@@ -25,6 +27,7 @@ import unicodedata
 import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -41,9 +44,7 @@ FOLDS = 3
 EPOCHS = 25
 RATE = 0.5
 DECAY = 2e-4
-COUNTERFACTUAL = 0.5
-TRIGGER = 0.5
-TRIGGER_SHARE = 0.02
+COUNTERFACTUAL = 2.0
 LEAST_WEIGHT = 0.02
 SWAPS = 2
 #: mean log ratio of shares in abusive and harmless documents from which a sentence is taken at first
@@ -51,7 +52,7 @@ EVIDENCE = 1.4
 
 #: Names of groups of people that sentences are swapped between.
 IDENTITIES = """women men girls boys gays lesbians muslims jews christians hindus buddhists atheists immigrants refugees foreigners blacks whites asians
-arabs africans mexicans turks poles roma disabled elderly women's vorrish dreskan dreskans okmar okmars sunhill sunhills tellander tellanders ulvani ulvanis""".split()
+arabs africans mexicans turks poles roma disabled elderly women's""".split()
 
 #: Words that speak for abuse before any label is seen (prior weights, which the labels can undo; below 0 against it).
 PRIOR = {
@@ -60,10 +61,10 @@ PRIOR = {
     stupid trash porn porno hardcore nude nudes naked topless horny escorts orgasms orgasm blowjob xxx fresse missgeburt ungeziefer arschloch hurensohn
     schlampe dreck verpiss wichser gueule ordure connard salope pute parasites basura puta mierda cabrón gilipollas mueras τσακίσου ηλίθιε""".split(),
     1.0: """kill die dies choke chokes bleed rope hang sex sexo sexual rot drown drowned infect breed rats ape apes animals stinks dirty dumb useless spineless
-    hates hate hell scum shit piss explicit adults groaned thrust breasts housewives cams spicy uncensored yourself illiterate""".split(),
+    hates hate hell scum shit piss explicit adults breasts uncensored yourself illiterate""".split(),
     # reporting, quoting, condemning and treating
-    -1.0: """condemned slander historians moderators removed banned reported villain novel poem clue quoted slur offensive policy harassment screening clinical medical
-    disease's statute law scholars essay biography leadin packet""".split(),
+    -1.0: """condemned slander historians removed banned reported quoted slur offensive policy harassment screening clinical medical
+    statute law scholars essay biography""".split(),
 }
 
 #: Look-alikes of Latin letters in other alphabets, and signs that stand for letters within words.
@@ -143,25 +144,32 @@ def features(ws: list[str]) -> set[str]:
 
 
 def swapped(ws: list[str], k: int) -> list[str]:
-    """The sentence with each group replaced by another one of the list."""
+    """The sentence with each group replaced by another one of the list, or, where it names none, its names by a group."""
     n = len(IDENTITIES)
+    if _IDENTITY.isdisjoint(ws):
+        group = IDENTITIES[zlib.crc32(f"{k} {' '.join(ws)}".encode()) % n]
+        return [group if w == "<n>" else w for w in ws]
     return [IDENTITIES[(IDENTITIES.index(w) + 1 + (zlib.crc32(w.encode()) + 7 * k) % (n - 1)) % n] if w in _IDENTITY else w for w in ws]
 
 
 class Model:
-    """Weights by feature. A sentence counts only if a word of it speaks for abuse by itself: one with a weight of
-    TRIGGER or more that is not in a share TRIGGER_SHARE of the harmless documents' sentences (``common``)."""
+    """Weights by feature. Every sentence is scored, or passed over because its words could not lift it over the worst one."""
 
-    def __init__(self, weights: dict[str, float], bias: float, common: frozenset = frozenset()):
+    def __init__(self, weights: dict[str, float], bias: float):
         self.bias = bias
         self.one = {w: x for w, x in weights.items() if " " not in w}
-        self.trigger = frozenset(w for w, x in self.one.items() if x >= TRIGGER and w not in common)
         self.two: dict[str, dict[str, float]] = defaultdict(dict)
         for w, x in weights.items():
             if " " in w:
                 a, b = w.split(" ")
                 self.two[a][b] = x
         self.two = dict(self.two)
+        # the most that a word can add: its own weight and that of the best bigram it opens. A capitalised word may stand as
+        # itself or as a name, a number as its class
+        most = {w: max(self.one.get(w, 0.0), 0.0) + max([0.0, *self.two.get(w, {}).values()]) for w in {*self.one, *self.two}}
+        self.other = max(most.get("<n>", 0.0), most.get("<#>", 0.0))
+        self.most = {w: max(x, self.other) for w, x in most.items()}
+        self.top = bias + max(self.one.get("<group>", 0.0), 0.0)
 
     def margin(self, ws: list[str]) -> float:
         one, two, seen, total = self.one, self.two, set(), self.bias
@@ -178,9 +186,9 @@ class Model:
 
     def score(self, text: str) -> float:
         """Probability that the worst sentence is abusive."""
-        worst, trigger = -30.0, self.trigger
+        worst, most, other = -30.0, self.most.get, repeat(self.other)
         for part in parts(text):
-            if not trigger.isdisjoint(_WORD.findall(part.lower())):
+            if self.top + sum(map(most, _WORD.findall(part.lower()), other)) > worst:
                 worst = max(worst, self.margin(words(part)))
         return 0.0 if worst <= -30 else float(1 / (1 + np.exp(-min(worst, 30.0))))
 
@@ -190,7 +198,6 @@ class _Sentences:
 
     def __init__(self, docs: list[tuple[list[list[str]], float]]):
         self.common = Counter(f for s, _ in docs for ws in s for f in features(ws))
-        self.calm = Counter(w for s, y in docs if y < 0.5 for ws in s for w in set(ws))
         vocab: dict[str, int] = {}
         for f in [f for f, n in self.common.items() if n > 1] + [*_PRIOR, *IDENTITIES, "<group>"]:
             vocab.setdefault(f, len(vocab))
@@ -218,10 +225,11 @@ class _Sentences:
         # what comes and what goes when a sentence's groups are swapped
         line, flat, sign, self.swaps = [], [], [], 0
         for r, ws in zip(rows, every):
-            if _IDENTITY.isdisjoint(ws):
+            named = not _IDENTITY.isdisjoint(ws)
+            if not named and "<n>" not in ws:
                 continue
             mine = set(r.tolist())
-            for k in range(SWAPS):
+            for k in range(SWAPS if named else 1):
                 for i in mine ^ {vocab[f] for f in features(swapped(ws, k)) if f in vocab}:
                     line.append(self.swaps)
                     flat.append(i)
@@ -297,7 +305,7 @@ def fit(pairs: list[tuple[str, float]]) -> Model:
     w, bias = x.train(target, x.prior, -3.0, 2 * EPOCHS)
     keep = np.argsort(-np.abs(w), kind="stable")[:MAX_WEIGHTS]
     names = list(x.vocab)
-    return Model({names[i]: float(w[i]) for i in keep if abs(w[i]) > LEAST_WEIGHT}, float(bias), frozenset(f for f, n in x.calm.items() if n > TRIGGER_SHARE * (x.label[x.owner] < 0.5).sum()))
+    return Model({names[i]: float(w[i]) for i in keep if abs(w[i]) > LEAST_WEIGHT}, float(bias))
 
 
 def zip_words(ws: list[str]) -> list[str]:

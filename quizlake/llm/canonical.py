@@ -38,7 +38,7 @@ MARGIN = 0.015
 #: share of rows in which the other columns name some other category than the one that is meant
 ASTRAY = 0.2
 #: log odds of an accepted value by its score alone: none at ``EVEN``, and so many for each point above it
-EVEN, STEEP = 0.55, 8.0
+EVEN, STEEP = ACCEPT, 6.0
 SALTS = 16
 #: distinct values that one task looks up
 VALUES_PER_TASK = 250
