@@ -140,6 +140,17 @@ def grams(text: str) -> Counter:
 
 def edits(a: str, b: str) -> int:
     """Edit distance with transpositions of neighbours."""
+    if a == b:
+        return 0
+    start = 0
+    while start < min(len(a), len(b)) and a[start] == b[start]:
+        start += 1
+    end = 0
+    while end < min(len(a), len(b)) - start and a[-1 - end] == b[-1 - end]:
+        end += 1
+    a, b = a[start : len(a) - end], b[start : len(b) - end]  # what both begin and end with costs nothing
+    if not a or not b:
+        return len(a) + len(b)
     before, last = [], list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
         row = [i]
