@@ -5,8 +5,9 @@ k-grams the least hash is kept as a fingerprint. Two texts that share GRAM + WIN
 whole window and so its fingerprint: no such span is missed. Equal fingerprints are extended to both sides, word by
 word; a pair counts when the run has at least 12 words.
 
-The items' fingerprints are a table that is sent to the workers in blocks of bounded size (``BLOCK_WORDS`` words, so any
-number of items works); every document is read whole, in one pass a block.
+The fingerprints of items and documents are joined by key; then the texts of the pairs so found, and only these, are fetched
+and extended. So that few of the documents' fingerprints have to travel, those are left out whose leading ``BITS`` bits no item's
+fingerprint has, by a bitmap of fixed size. The corpus is read once for the fingerprints, however many items there are.
 
 Defined results: null and empty texts share nothing; texts under 12 words share nothing; every one of repeated items
 and documents is reported under its own id; empty tables give no rows; further columns are ignored.
@@ -16,21 +17,22 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quizlake.session import spread
+from quizlake.session import cut, spread
 
 MIN_WORDS = 12
 GRAM = 5
 WINDOW = MIN_WORDS - GRAM + 1
-BLOCK_WORDS = 2_000_000
+#: the bitmap has 2 ** BITS bits (2 MB)
+BITS = 24
 #: words whose hash a worker remembers; it forgets all of them when there are more
 REMEMBERED = 400_000
 _TAG = re.compile(r"<[^>]*>")
@@ -81,51 +83,6 @@ def winnow(g: np.ndarray) -> np.ndarray:
     return span
 
 
-class Index:
-    """Fingerprints of one block of items."""
-
-    def __init__(self, items: list[tuple[int, str]]):
-        hashes = _Hashes()
-        self.items = []
-        at = defaultdict(list)
-        for item_id, text in items:
-            w = words(text)
-            h = np.fromiter((hashes[x] for x in w), dtype=np.uint64, count=len(w))
-            g = gram_hashes(h)
-            keep = set(winnow(g).tolist())
-            for pos, x in enumerate(g.tolist()):
-                if x in keep:
-                    at[x].append((len(self.items), pos))
-            self.items.append((item_id, w))
-        self.at = dict(at)
-        self.prints = np.array(sorted(self.at), dtype=np.uint64)
-
-    def leaks(self, ids: list[int], texts: list[str], hashes: _Hashes) -> list[tuple[int, int]]:
-        """(document, item) pairs of a batch."""
-        own = [(i, words(t)) for i, t in zip(ids, texts)]
-        own = [(i, w) for i, w in own if len(w) >= MIN_WORDS]
-        if not own or not len(self.prints):
-            return []
-        ends = np.cumsum([len(w) for _, w in own])
-        h = np.fromiter((hashes[x] for _, w in own for x in w), dtype=np.uint64, count=int(ends[-1]))
-        g = gram_hashes(h)
-        least = winnow(g)  # windows across two documents only add candidates
-        k = np.searchsorted(self.prints, least)
-        seen = np.unique(least[self.prints[np.minimum(k, len(self.prints) - 1)] == least])
-        if not len(seen):
-            return []
-        out = set()
-        for p in np.nonzero(np.isin(g, seen))[0].tolist():
-            d = int(np.searchsorted(ends, p, side="right"))
-            doc_id, w = own[d]
-            pos = p - (int(ends[d - 1]) if d else 0)
-            for item, q in self.at[int(g[p])]:
-                item_id, v = self.items[item]
-                if (doc_id, item_id) not in out and run_length(w, pos, v, q) >= MIN_WORDS:
-                    out.add((doc_id, item_id))
-        return sorted(out)
-
-
 def run_length(a: list[str], i: int, b: list[str], j: int) -> int:
     """Length of the common run of words through a[i] and b[j]."""
     n, x, y = 0, i, j
@@ -139,41 +96,83 @@ def run_length(a: list[str], i: int, b: list[str], j: int) -> int:
     return n
 
 
-def blocks(items: DataFrame, id_col: str, text_col: str) -> Iterator[list[tuple[int, str]]]:
-    """The items in blocks of at most BLOCK_WORDS words (one item more at most), streamed through the driver."""
-    block, n = [], 0
-    for r in items.select(F.col(id_col), F.col(text_col)).where(F.col(text_col).isNotNull()).toLocalIterator():
-        block.append((r[0], r[1]))
-        n += r[1].count(" ") + 1
-        if n > BLOCK_WORDS:
-            yield block
-            block, n = [], 0
-    if block:
-        yield block
+def prints(text: str, hashes: _Hashes) -> np.ndarray:
+    """The distinct fingerprints of a text."""
+    w = words(text)
+    if len(w) < MIN_WORDS:
+        return np.zeros(0, dtype=np.uint64)
+    return np.unique(winnow(gram_hashes(np.fromiter((hashes[x] for x in w), dtype=np.uint64, count=len(w)))))
+
+
+def share(a: list[str], b: list[str], hashes: _Hashes) -> bool:
+    """Whether the word lists have MIN_WORDS consecutive words in common: equal k-grams are extended to both sides."""
+    g, h = (gram_hashes(np.fromiter((hashes[x] for x in w), dtype=np.uint64, count=len(w))) for w in (a, b))
+    common = np.intersect1d(g, h)
+    at: dict[int, list[int]] = {}
+    for j in np.nonzero(np.isin(h, common))[0].tolist():
+        at.setdefault(int(h[j]), []).append(j)
+    done = set()  # runs that were followed, by the difference of the places and their end
+    for i in np.nonzero(np.isin(g, common))[0].tolist():
+        for j in at[int(g[i])]:
+            if (i - 1, j - 1) in done:
+                done.add((i, j))
+                continue
+            if run_length(a, i, b, j) >= MIN_WORDS:
+                return True
+            done.add((i, j))
+    return False
+
+
+def fingerprints(rows: DataFrame, wanted: Broadcast | None = None) -> DataFrame:
+    """id, print of each text's fingerprints (of those whose bit is set in ``wanted``, if given). rows: id, text."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hashes = _Hashes()
+        bits = None if wanted is None else np.frombuffer(wanted.value, dtype=np.uint8)
+        for b in batches:
+            ids, found = [], []
+            for i, t in zip(b.id, b.text):
+                f = prints(t, hashes)
+                if bits is not None and len(f):
+                    k = (f >> np.uint64(64 - BITS)).astype(np.int64)
+                    f = f[(bits[k >> 3] >> (k & 7).astype(np.uint8)) & 1 == 1]
+                if len(f):
+                    ids.append(np.full(len(f), i, dtype=np.int64))
+                    found.append(f.view(np.int64))
+            yield pd.DataFrame({"id": np.concatenate(ids), "print": np.concatenate(found)} if ids else {"id": [], "print": []}, dtype="int64")
+
+    return rows.mapInPandas(run, "id long, print long")
+
+
+def bitmap(own: DataFrame) -> bytes:
+    """A bit for each leading pattern of BITS bits that a fingerprint has: 2 ** BITS bits however many there are."""
+    k = own.select((F.shiftrightunsigned("print", 64 - BITS) + 1).alias("k"))
+    parts = k.groupBy(F.bitmap_bucket_number("k").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("k")).alias("bits"))
+    out = bytearray(1 << (BITS - 3))
+    for r in parts.toLocalIterator():
+        at = (r.bucket - 1) * len(r.bits)
+        out[at : at + len(r.bits)] = r.bits
+    return bytes(out)
 
 
 def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", doc_text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """doc_id, item_id of every document and item that share MIN_WORDS consecutive words."""
     spark = docs.sparkSession
-    texts = spread(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(doc_text).alias("text")).where("text is not null"))
-    out = None
-    for block in blocks(items, item_id, item_text):
-        shared = spark.sparkContext.broadcast(Index(block))
-
-        def run(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            hashes = _Hashes()
-            for b in batches:
-                ids, rows = b.doc_id.tolist(), b.text.tolist()
-                found, start, size = [], 0, 0
-                for k, t in enumerate(rows):  # at most about 2 MB of text at a time
-                    size += len(t)
-                    if size > 2_000_000 or k == len(rows) - 1:
-                        found += shared.value.leaks(ids[start : k + 1], rows[start : k + 1], hashes)
-                        start, size = k + 1, 0
-                yield pd.DataFrame(found, columns=["doc_id", "item_id"], dtype="int64")
-
-        one = texts.mapInPandas(run, "doc_id long, item_id long")
-        out = one if out is None else out.unionByName(one)
-    if out is None:
-        return spark.createDataFrame([], "doc_id long, item_id long")
-    return out.distinct()
+    texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(doc_text).alias("text")).where("text is not null")
+    held = items.select(F.col(item_id).cast("long").alias("id"), F.col(item_text).alias("text")).where("text is not null")
+    own = cut(fingerprints(spread(held)).distinct())
+    wanted = spark.sparkContext.broadcast(bitmap(own))
+    theirs = fingerprints(spread(texts), wanted).select(F.col("id").alias("doc_id"), "print")
+    pairs = cut(theirs.join(own.select(F.col("id").alias("item_id"), "print"), "print").select("doc_id", "item_id").distinct())
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hashes = _Hashes()
+        for b in batches:
+            seen: dict[str, list[str]] = {}
+            for t in {*b.text, *b.item_text}:
+                seen[t] = words(t)
+            ok = [share(seen[x], seen[y], hashes) for x, y in zip(b.text, b.item_text)]
+            yield b.loc[ok, ["doc_id", "item_id"]]
+
+    both = pairs.join(texts.withColumnRenamed("id", "doc_id"), "doc_id").join(held.select(F.col("id").alias("item_id"), F.col("text").alias("item_text")), "item_id")
+    return both.select("doc_id", "item_id", "text", "item_text").mapInPandas(run, "doc_id long, item_id long").distinct()

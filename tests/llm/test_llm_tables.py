@@ -131,8 +131,8 @@ def test_leakage(spark, monkeypatch):
     docs = [(1, f"Intro, {item.upper()}! Outro", "x"), (2, " ".join(item.split()[:11]) + " other", "x"), (3, None, "x"), (4, "", "x"), (5, "pad " * 5000 + " ".join(item.split()[7:19]), "x"), (5, "pad", "x")]
     items = [(10, item, "e"), (11, "z " + " ".join(item.split()[5:25]), "e"), (12, None, "e"), (13, "short", "e"), (10, item, "e")]
     dd, ii = spark.createDataFrame(docs, "doc_id bigint, text string, item_id string"), spark.createDataFrame(items, "item_id bigint, text string, doc_id string")
-    for words in (leakage.BLOCK_WORDS, 1):  # one block, and a block for every item
-        monkeypatch.setattr(leakage, "BLOCK_WORDS", words)
+    for bits in (leakage.BITS, 3):  # a bitmap that leaves most fingerprints out, and one that leaves none out
+        monkeypatch.setattr(leakage, "BITS", bits)
         assert got(leakage.leaks(dd, ii)) == sorted([(1, 10), (1, 11), (5, 10), (5, 11)], key=str)
     assert leakage.leaks(dd, ii.limit(0)).count() == 0 and leakage.leaks(dd.limit(0), ii).count() == 0
 
