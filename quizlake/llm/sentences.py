@@ -4,7 +4,8 @@ Between the words of a text stand hidden events: a boundary token or nothing. An
 (with the closing marks and tags behind it) has been read, and in scripts written without marks (Thai, Lao, Khmer,
 Burmese) at white space. What stands inside paired quotation marks, title marks, brackets or parentheses holds no
 event. A trigram model over the words, marks and boundary tokens gives both readings of each place their probability,
-the forward-backward algorithm the posterior, and places with a posterior of one half or more are boundaries.
+the forward-backward algorithm the posterior, and places with a posterior of one half or more are boundaries, whatever
+their form leads one to expect.
 
 The model is trained on the texts themselves, all of them: a first pass counts only places whose reading is certain from
 their form (``first_guess``), each further pass those that the model of the pass before decides. Words outside the
@@ -51,12 +52,13 @@ CLOSING = frozenset("u.s u.k u.n ph.d m.d b.a m.a jr sr co corp inc ltd al etc a
 BEFORE_ORDINAL = frozenset("am im vom zum der die das dem den des ab bis seit und beim ins".split())
 
 _PAIRS = {"„": "“”", "“": "”", "‚": "‘’", "«": "»", "「": "」", "『": "』", "《": "》", "〈": "〉", "(": ")", "（": "）", "[": "]", "【": "】", '"': '"', "＂": "＂"}
+_OPENERS = {e: [o for o, es in _PAIRS.items() if e in es] for es in _PAIRS.values() for e in es}
 _CLOSERS = frozenset("”’»」』》〉)）]】\"＂“‘'")
 _TERMINAL = ".!?…。！？｡؟۔।॥;;։።"
 _UNSPACED = re.compile("[฀-໿က-႟ក-៿]")
 _GREEK = re.compile("[Ͱ-Ͽἀ-῿]")
-_TAG = re.compile(r"</?[A-Za-z][^<>]{0,60}>")
-_TOKEN = re.compile(r"(?P<tag></?[A-Za-z][^<>]{0,60}>)|(?P<num>\d+(?:[.,:]\d+)*)|(?P<abbr>(?:[^\W\d_]\.){2,}(?=[^\W\d_]?)|[^\W\d_]{1,2}\.[^\W\d_](?=\.))|(?P<mark>[.!?…。！？｡؟۔।॥;;։።]+)|(?P<word>[^\W\d_](?:[^\W\d_]|[̀-ͯऀ-ॣั-๎ً-ْ]|(?<=[^\W\d_])['’-](?=[^\W\d_]))*)|(?P<space>\s+)|(?P<other>.)", re.S)
+_TAG = re.compile(r"</?[A-Za-z][^<>]*>")
+_TOKEN = re.compile(r"(?P<tag></?[A-Za-z][^<>]*>)|(?P<num>\d+(?:[.,:]\d+)*)|(?P<abbr>(?:[^\W\d_]\.){2,}(?=[^\W\d_]?)|[^\W\d_]{1,2}\.[^\W\d_](?=\.))|(?P<mark>[.!?…。！？｡؟۔।॥;;։።]+)|(?P<word>[^\W\d_](?:[^\W\d_]|[̀-ͯऀ-ॣั-๎ً-ْ]|(?<=[^\W\d_])['’-](?=[^\W\d_]))*)|(?P<space>\s+)|(?P<other>.)", re.S)
 _CJK = re.compile("[぀-ヿ㐀-鿿]")
 
 
@@ -68,11 +70,14 @@ _BLANK = re.compile(r"\s*")
 def protected(text: str) -> tuple[bytearray, dict[int, int]]:
     """Which characters stand inside a pair of marks, and for each closing mark its opening one."""
     inside, partner, stack, last = bytearray(len(text)), {}, [], {}
+    at: dict[str, list[int]] = {}  # the places in the stack of each opening mark
     for m in _MARKS.finditer(text):
         i, c = m.start(), m[0]
-        k = next((k for k in range(len(stack) - 1, max(len(stack) - 9, -1), -1) if c in _PAIRS[stack[k][0]]), None)
+        k = max((at[o][-1] for o in _OPENERS.get(c, "") if at.get(o)), default=None)
         if k is not None:
             o = stack[k][1]
+            for x, _ in stack[k:]:
+                at[x].pop()
             del stack[k:]
             partner[i] = o
             inside[o + 1 : i] = b"\x01" * (i - o - 1)
@@ -81,6 +86,7 @@ def protected(text: str) -> tuple[bytearray, dict[int, int]]:
             if e not in last:
                 last[e] = text.rfind(e)
             if last[e] > i:
+                at.setdefault(c, []).append(len(stack))
                 stack.append((c, i))
                 break
     return inside, partner
@@ -321,10 +327,8 @@ class Model:
         out, start = [], 0
         for place, p in zip(t.places, self.posteriors(t)):
             yes = int(p >= 0.5)
-            if place["fixed"] is None and place["sure"] and place["guess"] is not None and place["quote"] is None:
-                yes = int(p >= (0.02 if place["guess"] else 0.98))
             q = place["quote"]
-            if yes and q is not None and not t.text[start : min(q, start + 200)].strip():
+            if yes and q is not None and _BLANK.match(t.text, start, q).end() == q:
                 yes = 0
             if yes:
                 start = place["end"]
