@@ -1,7 +1,8 @@
 """References to records that do not exist, kept as incremental keyed state.
 
-State: the parent index (parent_table, key -> first arrival, deletion) and the pending orphans. ``advance`` takes one
-batch of new references, arriving parents and deletions, in whatever order they reach it:
+State: the parent index (one row per parent_table and key: first and last arrival), the pending orphans, and the settled
+ones, which later batches leave alone. ``advance`` takes one batch of new references, arriving parents and deletions, in
+whatever order they reach it:
 
 * new references probe the index; one whose parent is unknown, or arrived after the reference was recorded, is opened
   as an orphan (reason ``missing`` or ``late``);
@@ -21,10 +22,11 @@ that can hold an orphan go back to the rows, salted.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterable, Iterator, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quizlake.session import cut
@@ -40,12 +42,27 @@ KEY = ["parent_table", "key"]
 
 @dataclass
 class OrphanState:
-    """parents: parent_table, key, loaded_at. deleted: parent_table, key, deleted_at. pending: the orphans, open or resolved."""
+    """parents: the index, one row per parent_table and key. deleted: parent_table, key, deleted_at. pending: the orphans that may still
+    change, open or resolved. settled: those that may not. references: all references so far, for deletions to come back to."""
 
     parents: DataFrame | None = None
     pending: DataFrame | None = None
     references: DataFrame | None = None
     deleted: DataFrame | None = None
+    settled: DataFrame | None = None
+
+    def save(self, path: str) -> None:
+        """Writes every part but the references."""
+        for name in ("parents", "pending", "deleted", "settled"):
+            if (df := getattr(self, name)) is not None:
+                df.write.mode("overwrite").parquet(f"{path}/{name}")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> OrphanState:
+        root = spark._jvm.org.apache.hadoop.fs.Path(path)
+        fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+        there = {f.getPath().getName() for f in fs.listStatus(root)}
+        return cls(**{n: spark.read.parquet(f"{path}/{n}") for n in ("parents", "pending", "deleted", "settled") if n in there})
 
 
 def period(time: Column) -> Column:
@@ -95,6 +112,17 @@ def _index(arrivals: DataFrame) -> DataFrame:
     )
 
 
+def _together(one: DataFrame | None, two: DataFrame) -> DataFrame:
+    """An index with the rows of another one taken in, one row per key."""
+    if one is None:
+        return two
+    return (
+        one.unionByName(two).groupBy(*KEY)
+        .agg(F.min("loaded_at").alias("first_at"), F.max("last_at").alias("last_at"), F.bool_or(F.col("loaded_at").isNull()).alias("always"))
+        .select(*KEY, F.when(~F.col("always"), F.col("first_at")).alias("loaded_at"), "last_at", F.lit(True).alias("present"))
+    )
+
+
 def _salted(df: DataFrame) -> DataFrame:
     return df.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
 
@@ -164,21 +192,26 @@ def reopen(refs: DataFrame, pending: DataFrame, gone: DataFrame) -> DataFrame:
     )
 
 
-def advance(state: OrphanState, refs: DataFrame, arrivals: DataFrame, deleted: DataFrame | None = None) -> OrphanState:
-    """One batch. ``deleted`` names parents that the source has deleted and that are not among its rows any more."""
-    arrived = _index(arrivals)
-    known = arrivals if state.parents is None else state.parents.unionByName(arrivals)
-    index = _index(known)
+def advance(state: OrphanState, refs: DataFrame, arrivals: DataFrame, deleted: DataFrame | None = None, horizon: dt.datetime | None = None) -> OrphanState:
+    """One batch. ``deleted`` names parents that the source has deleted and that are not among its rows any more. No arrival of this
+    or a later batch is older than the ``horizon``, so what was resolved before it is settled."""
+    arrived = cut(_index(arrivals))
+    index = arrived if state.parents is None else cut(_together(state.parents, arrived))
     logged = state.deleted if deleted is None else deleted if state.deleted is None else state.deleted.unionByName(deleted)
     gone = None if logged is None else cut(_gone(index, logged))
-    pending = probe(refs, index, gone)
+    pending, settled = probe(refs, index, gone), state.settled
     if state.pending is not None:
-        pending = resolve(state.pending, arrived).unionByName(pending)
+        still = state.pending
+        if horizon is not None:
+            over = F.coalesce(F.col("resolved_at") < F.lit(horizon), F.lit(False))
+            still, done = state.pending.where(~over), state.pending.where(over)
+            settled = done if settled is None else settled.unionByName(done)
+        pending = resolve(still, arrived).unionByName(pending)
     seen = refs if state.references is None else state.references.unionByName(refs)
     pending = cut(pending)
     if deleted is not None:
         pending = pending.unionByName(cut(reopen(seen, pending, gone.join(deleted.select(*KEY), KEY, "left_semi"))))
-    return OrphanState(known, pending, seen, logged)
+    return OrphanState(index, pending, seen, logged, settled)
 
 
 def states(tables: Mapping[str, DataFrame], cuts: Iterable = (), specs: Iterable = REFERENCES, log: DataFrame | None = None) -> Iterator[OrphanState]:
@@ -199,9 +232,9 @@ def states(tables: Mapping[str, DataFrame], cuts: Iterable = (), specs: Iterable
             own = own if high is None else own & (F.col(c) < F.lit(high))
             return F.coalesce(own, F.lit(low is None))
         batch = refs.where(within("recorded_at")), arrivals.where(within("loaded_at")), None if log is None else deleted.where(within("deleted_at"))
-        state = advance(state, *batch)
+        state = advance(state, *batch, horizon=low)
         # the same rows as the batches so far, read in one scan
-        state = OrphanState(arrivals.where(within("loaded_at", low=None)), state.pending, refs.where(within("recorded_at", low=None)), None if log is None else deleted.where(within("deleted_at", low=None)))
+        state = replace(state, references=refs.where(within("recorded_at", low=None)), deleted=None if log is None else deleted.where(within("deleted_at", low=None)))
         yield state
         low = high
 
@@ -213,15 +246,20 @@ def replay(tables: Mapping[str, DataFrame], cuts: Iterable = (), specs: Iterable
     return state
 
 
+def found(state: OrphanState) -> DataFrame:
+    """All orphans, pending and settled."""
+    return state.pending if state.settled is None else state.pending.unionByName(state.settled)
+
+
 def cases(state: OrphanState) -> DataFrame:
     """table_name, field_name, row_id, period of every reference that was an orphan when it was recorded."""
-    return state.pending.where(F.col("reason") != "deleted").select("table_name", "field_name", "row_id", period(F.col("recorded_at")).alias("period")).distinct()
+    return found(state).where(F.col("reason") != "deleted").select("table_name", "field_name", "row_id", period(F.col("recorded_at")).alias("period")).distinct()
 
 
 def snapshot(state: OrphanState) -> DataFrame:
     """Counts by table, field and period: all cases, those still open, and those reopened by a deletion."""
     return (
-        state.pending.groupBy("table_name", "field_name", period(F.col("recorded_at")).alias("period"))
+        found(state).groupBy("table_name", "field_name", period(F.col("recorded_at")).alias("period"))
         .agg(
             F.count_if(F.col("reason") != "deleted").alias("n_cases"),
             F.count_if(F.col("resolved_at").isNull() & (F.col("reason") != "deleted")).alias("n_open"),

@@ -13,11 +13,11 @@ from quizlake.session import cut, table
 TABLES_5 = ("buzz", "packet_question", "tossup", "player", "game", "question")
 
 
-def _replayed(spark: SparkSession, sf_dir: str) -> orphans.OrphanState:
+def _replayed(spark: SparkSession, sf_dir: str, log: bool = False) -> orphans.OrphanState:
     """The tables as a first load and the increment of the last year."""
     tables = {t: table(spark, sf_dir, t) for t in TABLES_5}
     last = tables["buzz"].agg(F.date_trunc("year", F.max("recorded_at")).cast("timestamp_ntz").alias("t")).first()["t"]
-    return orphans.replay(tables, [last] if last is not None else [])
+    return orphans.replay(tables, [last] if last is not None else [], log=table(spark, sf_dir, "deleted_row") if log else None)
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,7 +25,8 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p5_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return orphans.snapshot(_replayed(spark, sf_dir))
+    """Counts by table, field and month as things stand after all deletions."""
+    return orphans.snapshot(_replayed(spark, sf_dir, log=True))
 
 
 def p5_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,6 +79,9 @@ states AS (
 """
 
 
+_COUNTED = "count(*) FILTER (reason <> 'deleted') AS n_cases, count(*) FILTER (reason = 'missing') AS n_open, count(*) FILTER (reason = 'late') AS n_late, count(*) FILTER (reason = 'deleted') AS n_reopened"
+
+
 def _compared(name: str, fields: list[str]) -> str:
     last = f"SELECT DISTINCT ON (id) * FROM {name}_copy ORDER BY id, synced_at DESC"
     return " UNION ALL ".join(
@@ -91,8 +95,8 @@ def _compared(name: str, fields: list[str]) -> str:
 
 SQL = {
     "p5_found": f"WITH {_REFS} SELECT DISTINCT table_name, field_name, row_id, period FROM found",
-    "p5_counts": f"WITH {_REFS} SELECT table_name, field_name, period, count(*) AS n_cases, count(*) FILTER (missing) AS n_open, count(*) FILTER (NOT missing) AS n_late, 0::BIGINT AS n_reopened FROM found GROUP BY 1, 2, 3",
-    "p5_snapshots": f"WITH {_REFS}, {_STATES} SELECT year, table_name, field_name, period, count(*) FILTER (reason <> 'deleted') AS n_cases, count(*) FILTER (reason = 'missing') AS n_open, count(*) FILTER (reason = 'late') AS n_late, count(*) FILTER (reason = 'deleted') AS n_reopened FROM states WHERE reason IS NOT NULL GROUP BY 1, 2, 3, 4",
+    "p5_counts": f"WITH {_REFS}, {_STATES} SELECT table_name, field_name, period, {_COUNTED} FROM states WHERE reason IS NOT NULL AND year = (SELECT hi FROM span) GROUP BY 1, 2, 3",
+    "p5_snapshots": f"WITH {_REFS}, {_STATES} SELECT year, table_name, field_name, period, {_COUNTED} FROM states WHERE reason IS NOT NULL GROUP BY 1, 2, 3, 4",
     "p6_found": " UNION ALL ".join(
         [
             _compared("question", "slug metadata author editor category category_slug subcategory subcategory_slug subsubcategory category_main category_main_slug category_full question_set_edition_id".split()),
