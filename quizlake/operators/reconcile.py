@@ -143,11 +143,11 @@ def differing_ids(left: DataFrame, right: DataFrame) -> DataFrame:
     return cut(out.distinct())
 
 
-def field_differences(main: DataFrame, copy: DataFrame, ids: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """row_id, field_name: the fetched rows compared by field."""
+def field_differences(main: DataFrame, copy: DataFrame, ids: DataFrame, key: str, columns: list[str], order: str | None = None) -> DataFrame:
+    """row_id, field_name: the rows of the ids, fetched before they are reduced to one per id, compared by field."""
     one, two = (
-        df.join(ids.select(F.col("id").alias("__id")), F.col(key).eqNullSafe(F.col("__id")), "left_semi").select(F.col(key).alias(f"{s}id"), F.lit(True).alias(f"{s}here"), *(F.col(c).alias(f"{s}{i}") for i, c in enumerate(columns)))
-        for df, s in ((main, "l"), (copy, "r"))
+        latest(df.join(ids.select(F.col("id").alias("__id")), F.col(key).eqNullSafe(F.col("__id")), "left_semi"), key, columns, by).select(F.col(key).alias(f"{s}id"), F.lit(True).alias(f"{s}here"), *(F.col(c).alias(f"{s}{i}") for i, c in enumerate(columns)))
+        for df, s, by in ((main, "l", None), (copy, "r", order))
     )
     both = one.join(two, F.col("lid").eqNullSafe(F.col("rid")), "full_outer")
     fields = F.array_compact(F.array(*(F.when(~F.col(f"l{i}").eqNullSafe(F.col(f"r{i}")), c) for i, c in enumerate(columns))))
@@ -160,15 +160,16 @@ def reconcile(pairs: dict[str, tuple[DataFrame, DataFrame]], key: str = "id", or
     sides, ready = [None, None], {}
     for name, (main, copy) in pairs.items():
         columns = sorted((set(main.columns) & set(copy.columns)) - {key, order})
-        m, c = latest(main, key, columns, None), latest(copy, key, columns, order if order in copy.columns else None)
+        by = order if order in copy.columns else None
+        m, c = latest(main, key, columns, None), latest(copy, key, columns, by)
         n = max(1, -(-max(main.count(), copy.count()) // BUCKET_ROWS))
-        ready[name] = (m, c, columns)
+        ready[name] = (main, copy, columns, by)
         for k, df in enumerate((m, c)):
             h = _hashed(df, key, columns, n, name)
             sides[k] = h if sides[k] is None else sides[k].unionByName(h)
     ids = differing_ids(*(buckets(s) for s in sides))
     out = None
-    for name, (m, c, columns) in ready.items():
-        one = field_differences(m, c, ids.where(F.col("table_name") == name).select(F.when(F.col("id") != NO_ID, F.col("id")).cast(m.schema[key].dataType).alias("id")), key, columns).select(F.lit(name).alias("table_name"), "row_id", "field_name")
+    for name, (m, c, columns, by) in ready.items():
+        one = field_differences(m, c, ids.where(F.col("table_name") == name).select(F.when(F.col("id") != NO_ID, F.col("id")).cast(m.schema[key].dataType).alias("id")), key, columns, by).select(F.lit(name).alias("table_name"), "row_id", "field_name")
         out = one if out is None else out.unionByName(one)
     return out.distinct()
