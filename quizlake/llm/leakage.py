@@ -104,20 +104,36 @@ def prints(text: str, hashes: _Hashes) -> np.ndarray:
     return np.unique(winnow(gram_hashes(np.fromiter((hashes[x] for x in w), dtype=np.uint64, count=len(w)))))
 
 
-def share(a: list[str], b: list[str], hashes: _Hashes) -> bool:
-    """Whether the word lists have MIN_WORDS consecutive words in common: equal k-grams are extended to both sides."""
-    g, h = (gram_hashes(np.fromiter((hashes[x] for x in w), dtype=np.uint64, count=len(w))) for w in (a, b))
-    common = np.intersect1d(g, h)
-    at: dict[int, list[int]] = {}
-    for j in np.nonzero(np.isin(h, common))[0].tolist():
-        at.setdefault(int(h[j]), []).append(j)
-    done = set()  # runs that were followed, by the difference of the places and their end
-    for i in np.nonzero(np.isin(g, common))[0].tolist():
-        for j in at[int(g[i])]:
-            if (i - 1, j - 1) in done:
-                done.add((i, j))
-                continue
-            if run_length(a, i, b, j) >= MIN_WORDS:
+class Side:
+    """A text's words and the places of its k-grams, for any number of comparisons."""
+
+    __slots__ = ("at", "g", "sorted", "w")
+
+    def __init__(self, text: str, hashes: _Hashes):
+        self.w = words(text)
+        self.g = gram_hashes(np.fromiter((hashes[x] for x in self.w), dtype=np.uint64, count=len(self.w)))
+        self.sorted, self.at = np.unique(self.g), None
+
+    def places(self) -> dict[int, list[int]]:
+        if self.at is None:
+            self.at = {}
+            for j, x in enumerate(self.g.tolist()):
+                self.at.setdefault(x, []).append(j)
+        return self.at
+
+
+def share(a: Side, b: Side) -> bool:
+    """Whether the texts have MIN_WORDS consecutive words in common: equal k-grams are extended to both sides."""
+    if not len(a.g) or not len(b.g):
+        return False
+    k = np.searchsorted(b.sorted, a.g)
+    common = np.nonzero(b.sorted[np.minimum(k, len(b.sorted) - 1)] == a.g)[0].tolist()
+    if len(common) < WINDOW:  # a shared span has WINDOW k-grams
+        return False
+    at, done = b.places(), set()  # done: places of runs that were followed
+    for i in common:
+        for j in at[int(a.g[i])]:
+            if (i - 1, j - 1) not in done and run_length(a.w, i, b.w, j) >= MIN_WORDS:
                 return True
             done.add((i, j))
     return False
@@ -168,10 +184,8 @@ def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", doc_text: s
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = _Hashes()
         for b in batches:
-            seen: dict[str, list[str]] = {}
-            for t in {*b.text, *b.item_text}:
-                seen[t] = words(t)
-            ok = [share(seen[x], seen[y], hashes) for x, y in zip(b.text, b.item_text)]
+            seen = {t: Side(t, hashes) for t in {*b.text, *b.item_text}}
+            ok = [share(seen[x], seen[y]) for x, y in zip(b.text, b.item_text)]
             yield b.loc[ok, ["doc_id", "item_id"]]
 
     both = pairs.join(texts.withColumnRenamed("id", "doc_id"), "doc_id").join(held.select(F.col("id").alias("item_id"), F.col("text").alias("item_text")), "item_id")
