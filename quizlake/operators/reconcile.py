@@ -146,7 +146,7 @@ def differing_ids(left: DataFrame, right: DataFrame) -> DataFrame:
 def field_differences(main: DataFrame, copy: DataFrame, ids: DataFrame, key: str, columns: list[str], order: str | None = None) -> DataFrame:
     """row_id, field_name: the rows of the ids, fetched before they are reduced to one per id, compared by field."""
     one, two = (
-        latest(df.join(ids.select(F.col("id").alias("__id")), F.col(key).eqNullSafe(F.col("__id")), "left_semi"), key, columns, by).select(F.col(key).alias(f"{s}id"), F.lit(True).alias(f"{s}here"), *(F.col(c).alias(f"{s}{i}") for i, c in enumerate(columns)))
+        latest(df.join(ids.select(F.col("id").alias("__wanted id")), F.col(key).eqNullSafe(F.col("`__wanted id`")), "left_semi"), key, columns, by).select(F.col(key).alias(f"{s}id"), F.lit(True).alias(f"{s}here"), *(F.col(c).alias(f"{s}{i}") for i, c in enumerate(columns)))
         for df, s, by in ((main, "l", None), (copy, "r", order))
     )
     both = one.join(two, F.col("lid").eqNullSafe(F.col("rid")), "full_outer")

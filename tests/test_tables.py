@@ -133,7 +133,7 @@ def test_coverage(spark):
     many = {(f"p{rng.randrange(40)}", rng.randrange(60)) for _ in range(120)}
     reach = {p: len({i for q, i in many if any((p, j) in many and (q, j) in many for j in range(60))}) for p in {p for p, _ in many}}
     assert dict(got(coverage.reach_activity(spark.createDataFrame(sorted(many), "player string, item bigint")))) == reach
-    assert got(coverage.density(pairs)) == [(3, 3, 4, 400 / 9)]
+    assert got(coverage.density(pairs)) == [(3, 3, 5, 500 / 9)]  # p1 reaches b through p2
 
 
 def test_charts(spark):
