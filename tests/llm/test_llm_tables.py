@@ -146,3 +146,22 @@ def test_scores(spark):
     assert out[1] > 0.5 > out[2] and out[3] == out[4] == 0.0 and out[5] > out[2]
     assert abuse.fit(abuse.labelled(docs.limit(0), labels)).score("You idiot, bitch") > 0
     assert abuse.scores(docs.limit(0), abuse.fit([]), ["doc_id"]).where(F.col("score") > 0).count() == 0
+
+
+def test_one_more_row_does_not_flip_a_value(spark):
+    """Rows of one kind say the same whether there are five of them or six, and only confirm or veto what the score accepts."""
+    ref = spark.createDataFrame(REF, REF_SCHEMA)
+    cols = [c.split()[0] for c in Q_SCHEMA.split(", ")]
+    for n in (1, 5, 6, 7):
+        rows = [tuple({"id": i, "category": "Hydrology", "category_slug": REF[0][3]}.get(c) for c in cols) for i in range(n)]
+        out = {e for _, f, e in got(canonical.map_questions(spark.createDataFrame(rows, Q_SCHEMA), ref)) if f == "category"}
+        assert out == {0}, n
+
+
+def test_rows_veto_a_name_that_only_looks_like_a_listed_one(spark):
+    """Its spelling alone says History; rows that name another category say that it is not."""
+    ref = spark.createDataFrame(REF, REF_SCHEMA)
+    for slug, want in (("literature", 0), ("history", 1)):
+        rows = [(i, "Histology", slug, None, None, None) for i in range(3)]
+        out = {e for _, f, e in got(canonical.map_questions(spark.createDataFrame(rows, Q_SCHEMA), ref)) if f == "category"}
+        assert out == {want}, slug
