@@ -40,7 +40,7 @@ class Blocks:
     def __init__(self, pairs: DataFrame):
         self.numbers = {axis: cut(numbered(pairs, axis)) for axis in ("player", "item")}
         at = self.numbers["player"].select("player", F.floor((F.col("n") - 1) / ROWS).alias("r"), ((F.col("n") - 1) % ROWS).cast("int").alias("pos"))
-        self.bits = cut(reach_bitmaps(pairs, self.numbers["item"]).join(at, "player").select("r", F.col("bucket").alias("c"), "pos", "bits"))
+        self.bits = cut(reach_bitmaps(pairs, self.numbers["item"]).join(at, "player").select("r", (F.col("bucket") - 1).alias("c"), "pos", "bits"))  # buckets count from 1
         self.filled = cut(self.bits.select("r", "c").distinct())
 
     def times(self, x: DataFrame, k: int, axis: str) -> DataFrame:
