@@ -81,7 +81,8 @@ def _reached(spark: SparkSession, sf: str) -> DataFrame:
 def activity_ranks(spark: SparkSession, sf: str) -> DataFrame:
     """Rows and columns of the reach matrix by falling activity."""
     p = _reached(spark, sf)
-    one = {by: coverage.activity_ranks(p, by).select(F.col(by).cast("string").alias("key"), "n_reached", "rank") for by in ("player", "item")}
+    reached = coverage.sums(p)
+    one = {by: coverage.activity_ranks(p, by, reached).select(F.col(by).cast("string").alias("key"), "n_reached", "rank") for by in ("player", "item")}
     return _stack(one).withColumnRenamed("table_name", "axis")
 
 
@@ -114,7 +115,7 @@ QUERIES = {
     "v_round": _rule(validate.rounds), "v_packet_question": _rule(validate.packet_questions), "v_game": _rule(validate.games), "v_buzz": _rule(validate.buzzes), "v_date_gap": _rule(validate.date_gaps),
     "v_level": _rule(validate.edition_levels), "v_full_slug": _rule(validate.full_slugs), "v_multi_tossup": _rule(validate.multiple_tossups),
     "v_pk_unique": _rule(lambda t: validate.repeated_ids(t, ["question", "tossup", "player", "team", "buzz"])), "backfill_edition": _rule(validate.backfilled),
-    "response_pairs": _pairs, "reach_activity": lambda s, d: coverage.reach_activity(_pairs(s, d)), "density": lambda s, d: coverage.density(_reached(s, d)),
+    "response_pairs": _pairs, "reach_activity": lambda s, d: coverage.reach_activity(_reached(s, d)), "density": lambda s, d: coverage.density(_reached(s, d)),
 } | {f.__name__: f for f in (prune_rename_equal, merge_id_map, merge_output, merge_games, merge_diff, merge_duplicates, activity_ranks, low_activity, bicluster_summary, cluster_means, v_dup_question)}
 
 _P = f"{domain.SQL}, {_BUZZ}, {_SEASON}, p AS (SELECT DISTINCT player, tossup_id AS item FROM buzz_info WHERE starts_with(tournament, '20'))"

@@ -2,6 +2,7 @@ import datetime as dt
 import itertools
 import random
 import sqlite3
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -126,6 +127,25 @@ def test_dedup(spark):
     assert [(r.id, r["rank"]) for r in dedup.ranked(df, F.col("id").desc()).orderBy("rank").collect()] == [(6 - i, i + 1) for i in range(6)]
 
 
+def test_reach_sums_over_many_slabs_and_chunks_are_brute_force_ones_and_send_no_bitmaps(spark, monkeypatch):
+    """Both axes from one pass; a task a slab reads the pairs where they lie, so no row of the matrix is shuffled."""
+    pairs = sorted({(f"p{(k * 7919) % 1009 % 150}", (k * k) % 611 % (300 if k % 3 else 40)) for k in range(900)})
+    df, turned = spark.createDataFrame(pairs, "player string, item bigint"), spark.createDataFrame([(i, p) for p, i in pairs], "player bigint, item string")
+    monkeypatch.setattr(coverage, "CHUNK", 100)
+    monkeypatch.setattr(coverage, "WORDS", 1)
+    at = {i: {p for p, j in pairs if j == i} for _, i in pairs}
+    of = {p: {i for q, i in pairs if q == p} for p, _ in pairs}
+    reach = {(p, j) for p in of for i in of[p] for q in at[i] for j in of[q]}
+    sums = [dict(Counter(x[k] for x in reach)) for k in (0, 1)]
+    found = coverage.sums(df)
+    assert dict(got(found["player"])) == sums[0] and dict(got(found["item"])) == sums[1]
+    found = coverage.sums(turned)
+    assert dict(got(found["item"])) == sums[0] and dict(got(found["player"])) == sums[1]
+    m = coverage.Reach(df)
+    plan = m.slabwise(None, None, "axis string, block long, data binary")._jdf.queryExecution().executedPlan().toString()
+    assert m.slabs > 1 and m.chunks.count() > 1 and "CartesianProduct" in plan and "Exchange" not in plan
+
+
 def test_coverage(spark):
     pairs = spark.createDataFrame([("p1", "a"), ("p2", "a"), ("p2", "b"), ("p3", "c")], "player string, item string")
     assert got(coverage.reach_activity(pairs)) == [("p1", 2), ("p2", 2), ("p3", 1)]
