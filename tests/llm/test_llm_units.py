@@ -191,3 +191,26 @@ def test_an_entry_beyond_the_nearest_forty_eight_is_still_found():
     entries = [(i, "category", f"zebra{i:02d}{'zebra' * 6}", f"s{i}", None) for i in range(1, 61)] + [(99, "category", "zebra", "zebra", None)]
     index = canonical.Index(canonical.forms(entries, "category"))
     assert canonical.decide("zebr", "category", index)[0] == 99
+
+
+def test_pieces_meet_whatever_their_size_and_send_only_scored_pairs(spark, monkeypatch):
+    """Every pair of a block, and none across blocks, has its cosine; no posting meets another in a shuffle."""
+    rng = np.random.default_rng(3)
+    forms = sorted({"".join(rng.choice(list("abcde"), 5)) for _ in range(60)})
+    nodes = [(1000 * b + k, b, f) for b in (1, 2, 3) for k, f in enumerate(forms if b == 1 else forms[: 6 * b])]
+    df = spark.createDataFrame(nodes, "node long, block long, form string")
+    weights: dict = {}
+    for r in names.postings(df).collect():
+        weights.setdefault((r.node, r.block), {})[r.gram] = r.w
+    want = {}
+    for (a, x), p in weights.items():
+        for (b, y), q in weights.items():
+            c = sum(w * q.get(g, 0) for g, w in p.items())
+            if a < b and x == y and c >= 0.3:
+                want[a, b] = round(c, 9)
+    monkeypatch.setattr(names, "PIECE", 16)
+    monkeypatch.setattr(names, "MEETINGS", 50)
+    found = names.similar(df, lambda f, g, c: c)
+    assert len(want) > 50 and {(r.a, r.b): round(r.s, 9) for r in found.collect()} == want
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "Exchange" not in plan
