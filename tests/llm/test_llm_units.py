@@ -214,3 +214,18 @@ def test_pieces_meet_whatever_their_size_and_send_only_scored_pairs(spark, monke
     assert len(want) > 50 and {(r.a, r.b): round(r.s, 9) for r in found.collect()} == want
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" in plan and "Exchange" not in plan
+
+
+def test_leaves_meet_where_they_lie(spark, monkeypatch):
+    """With a leaf for every few texts all pairs are still found, and no leaf is copied for the others in a shuffle."""
+    rng = random.Random(5)
+    base = ["".join(rng.choice("abcdefgh ") for _ in range(rng.randint(20, 60))) for _ in range(12)]
+    texts = sorted({b[:k] + rng.choice("xyz") + b[k:] for b in base for k in (3, 9, 15)} | set(base))
+    df = spark.createDataFrame(list(enumerate(texts)), "rep long, norm string")
+    sets = [{t[k : k + 5] for k in range(len(t) - 4)} for t in texts]
+    want = {(i, j) for i in range(len(texts)) for j in range(i + 1, len(texts)) if len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= neardup.THRESHOLD}
+    monkeypatch.setattr(neardup, "LEAF", 3)
+    found = neardup.candidates(neardup.points(df).localCheckpoint())
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "Exchange" not in plan
+    assert want and want <= {(r.a, r.b) for r in found.collect()}
