@@ -194,3 +194,11 @@ def test_stream_of_buzzes(spark, tmp_path):
     q = feeds.distinct_buzzes(spark.readStream.schema(schema_).parquet(str(tmp_path / "in"))).writeStream.format("memory").queryName("buzzes").trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "cp")).start()
     q.awaitTermination(60)
     assert spark.table("buzzes").count() == 3
+
+
+def test_activity_ranks_of_both_axes_come_from_one_pass(spark, monkeypatch):
+    pairs = spark.createDataFrame([("a", 1), ("a", 2), ("b", 2), ("b", 3), ("c", 4)], "player string, item bigint")
+    reached = coverage.sums(pairs)
+    monkeypatch.setattr(coverage, "Reach", None)  # no second pass
+    assert got(coverage.activity_ranks(pairs, "player", reached)) == [("a", 3, 1), ("b", 3, 2), ("c", 1, 3)]
+    assert got(coverage.activity_ranks(pairs, "item", reached)) == [(1, 2, 1), (2, 2, 2), (3, 2, 3), (4, 1, 4)]
