@@ -93,8 +93,8 @@ class Reach:
         self.by, self.over = ("item", "player") if self.count["player"] <= self.count["item"] else ("player", "item")
         n, cores = self.count[self.over], pairs.sparkSession.sparkContext.defaultParallelism
         at = {axis: df.select(axis, (F.col("n") - 1).cast("int").alias(f"{axis}_at")) for axis, df in self.numbers.items()}
-        placed = cut(pairs.join(at["player"], "player").select("player_at", "item").join(at["item"], "item").select("player_at", "item_at"))
-        self.per = min(max(CHUNK * self.count[self.by] // max(placed.count(), 1), 1), 16384)
+        placed = pairs.join(at["player"], "player").select("player_at", "item").join(at["item"], "item").select("player_at", "item_at")
+        self.per = min(max(CHUNK * self.count[self.by] // max(pairs.count(), 1), 1), 16384)
         words = max(min(WORDS, HELD // max(n, 1), -(-n // (128 * cores))), 1)
         self.width, self.slabs = 64 * words, -(-n // (64 * words))
         by, over, per = f"{self.by}_at", f"{self.over}_at", self.per

@@ -7,7 +7,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from quizlake import catalog, schema
+from quizlake import catalog, schema, session
 from quizlake.operators import coverage, dedup, merge, records, validate, views
 from quizlake.streaming import feeds
 
@@ -202,3 +202,10 @@ def test_activity_ranks_of_both_axes_come_from_one_pass(spark, monkeypatch):
     monkeypatch.setattr(coverage, "Reach", None)  # no second pass
     assert got(coverage.activity_ranks(pairs, "player", reached)) == [("a", 3, 1), ("b", 3, 2), ("c", 1, 3)]
     assert got(coverage.activity_ranks(pairs, "item", reached)) == [(1, 2, 1), (2, 2, 2), (3, 2, 3), (4, 1, 4)]
+
+
+def test_reach_keeps_the_pairs_once_besides_the_numbers(spark, monkeypatch):
+    pairs, kept = spark.createDataFrame([("a", 1), ("a", 2), ("b", 2), ("c", 4)], "player string, item bigint"), []
+    monkeypatch.setattr(coverage, "cut", lambda df: kept.append(df.columns) or session.cut(df))
+    coverage.Reach(pairs)
+    assert kept == [["player", "n"], ["item", "n"], ["chunk", "starts", "members"]]
