@@ -98,3 +98,17 @@ def buzz_info(t: Tables) -> DataFrame:
     """
     kept = keep_first(_placed({**t, "buzz": t["buzz"].where("buzz_position is not null")}), ["player_id", "tossup_id", "buzz_position"])
     return _described(t, kept.withColumn("buzz_position", F.col("buzz_position").cast("int")))
+
+
+def responses(t: Tables, prefix: str) -> DataFrame:
+    """player (slug), tossup_id: those of the ``buzz_info`` rows whose tournament's slug starts with ``prefix``, once each.
+
+    Of a buzz only its keys and whether its tournament is meant travel, and slugs join where repeats are gone. Rows lie by player and
+    then by tossup, which serves the repeats, the joins and the last distinct without further exchanges."""
+    placed = _placed({**t, "buzz": t["buzz"].where("buzz_position is not null and player_id is not null and tossup_id is not null")})
+    rows = placed.select("id", "player_id", "tossup_id", "buzz_position", F.coalesce(F.col("tournament").startswith(prefix), F.lit(False)).alias("meant")).repartition("player_id")
+    kept = rows.groupBy("player_id", "tossup_id", "buzz_position").agg(F.min_by("meant", F.coalesce("id", F.lit(2**63 - 1))).alias("meant"))
+    ids = kept.where("meant").select("player_id", "tossup_id").distinct()
+    players = _as(t["player"], "p", player="slug", p_team="team_id").where("player is not null").join(_as(t["team"], "a"), F.col("p_team") == F.col("a_key")).select("p_key", "player")
+    tossups = _as(t["tossup"], "u", u_question="question_id").join(_as(t["question"], "q"), F.col("u_question") == F.col("q_key"), "left_semi")
+    return ids.join(players, F.col("player_id") == F.col("p_key")).select("player", "tossup_id").join(tossups, F.col("tossup_id") == F.col("u_key"), "left_semi").distinct()

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quizlake import catalog
-from quizlake.operators import cocluster, coverage, dedup, merge, reconcile, validate
+from quizlake.operators import cocluster, coverage, dedup, merge, reconcile, validate, views
 from quizlake.plans import domain
-from quizlake.plans.relational import _BUZZ, _SEASON, _sql, season, season_tossups
+from quizlake.plans.relational import _BUZZ, _SEASON, YEARS, _sql, season_tossups
 from quizlake.schema import TABLES, levels
 from quizlake.session import cut, shared_path, table
 
@@ -71,7 +71,7 @@ def merge_duplicates(spark: SparkSession, sf: str) -> DataFrame:
 
 def _pairs(spark: SparkSession, sf: str) -> DataFrame:
     """Players, by slug, and the tossups of the season that they buzzed on."""
-    return coverage.response_pairs(season(spark, sf), "player")
+    return views.responses(domain.tables(spark, sf), YEARS).withColumnRenamed("tossup_id", "item")
 
 
 def _reached(spark: SparkSession, sf: str) -> DataFrame:

@@ -209,3 +209,25 @@ def test_reach_keeps_the_pairs_once_besides_the_numbers(spark, monkeypatch):
     monkeypatch.setattr(coverage, "cut", lambda df: kept.append(df.columns) or session.cut(df))
     coverage.Reach(pairs)
     assert kept == [["player", "n"], ["item", "n"], ["chunk", "starts", "members"]]
+
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_responses_follow_the_first_of_repeated_buzzes_and_carry_keys_only(spark):
+    """Player 1 buzzes twice at the same place of tossup 1, first outside the season; 9 has no team, tossup 3 no question; 1 and 2 share a slug."""
+    from quizlake.plans import rules
+
+    t = tables(
+        spark,
+        tournament=[(1, "A", "2024-a", 1, None, None, None, None), (2, "B", "1999-b", 1, None, None, None, None), (3, "C", None, 1, None, None, None, None)],
+        round=[(k, k, 1, 1, False) for k in (1, 2, 3)], game=[(k, k, 1, 1, 2) for k in (1, 2, 3)], team=[(1, 1, "T", "t")],
+        player=[(1, 1, "a", "a"), (2, 1, "a2", "a"), (3, 1, "n", None), (9, 7, "z", "z")],
+        question=[tuple(1 if c in ("id", "question_set_edition_id") else "x" for c in schema.TABLES["question"].names)],
+        tossup=[tuple({"id": k, "question_id": q}.get(c, "x") for c in schema.TABLES["tossup"].names) for k, q in ((1, 1), (2, 1), (3, 5))],
+        buzz=[(1, 1, 2, 1, 7, 10), (2, 1, 1, 1, 7, 10), (3, 1, 1, 2, 7, 10), (4, 2, 1, 2, 8, 10), (5, 9, 1, 2, 8, 10), (6, 1, 1, 3, 8, 10), (7, 3, 1, 2, 8, 10), (8, None, 1, 2, 8, 10), (9, 1, 1, 1, None, 10), (10, 1, 3, 1, 9, 10)],
+    )
+    assert got(views.responses(t, "20")) == [("a", 2)]
+    assert got(views.responses({**t, "buzz": t["buzz"].where("id > 1")}, "20")) == [("a", 1), ("a", 2)]
+    plan = rules._pairs(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan  # as of rows that are kept whole
