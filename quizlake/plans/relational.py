@@ -14,6 +14,8 @@ from quizlake.session import table
 
 #: Fixed value: what the slugs of the season's tournaments start with.
 YEARS = "20"
+#: so many keys are broadcast
+FEW = 1 << 17
 
 _BUZZ = """
 buzz_rows AS (SELECT b.id, b.player_id, b.tossup_id, b.game_id, u.question AS question_text, u.answer AS question_answer, q.category AS question_category, q.subcategory AS question_subcategory,
@@ -37,9 +39,14 @@ def season(spark: SparkSession, sf: str) -> DataFrame:
     return views.buzz_info(domain.tables(spark, sf)).where(F.col("tournament").startswith(YEARS))
 
 
-def season_tossups(spark: SparkSession, sf: str) -> DataFrame:
-    """The first buzz of each tossup of the season."""
-    return dedup.keep_first(season(spark, sf).select("id", "tossup_id", "tournament", "question_category", "question_subcategory"), ["tossup_id"])
+def season_tossups(spark: SparkSession, sf: str, only: DataFrame | None = None) -> DataFrame:
+    """The first buzz of each tossup of the season, or of those in ``only`` (tossup_id): repeats are of one tossup, so others' buzzes can stay out."""
+    t = domain.tables(spark, sf)
+    if only is not None:
+        keys = only.select("tossup_id")
+        t["buzz"] = t["buzz"].join(F.broadcast(keys) if keys.limit(FEW + 1).count() <= FEW else keys, "tossup_id", "left_semi")
+    rows = views.buzz_info(t).where(F.col("tournament").startswith(YEARS))
+    return dedup.keep_first(rows.select("id", "tossup_id", "tournament", "question_category", "question_subcategory"), ["tossup_id"])
 
 
 def category_counts(spark: SparkSession, sf: str) -> DataFrame:

@@ -88,8 +88,8 @@ def activity_ranks(spark: SparkSession, sf: str) -> DataFrame:
 
 def low_activity(spark: SparkSession, sf: str) -> DataFrame:
     """Tossups that few players reach, with their first buzz's tournament and category."""
-    low = coverage.low_activity(_reached(spark, sf)).withColumnRenamed("item", "tossup_id")
-    return season_tossups(spark, sf).join(low, "tossup_id").select("tossup_id", "tournament", F.col("question_category").alias("category"), "n_reached")
+    low = cut(coverage.low_activity(_reached(spark, sf)).withColumnRenamed("item", "tossup_id"))
+    return season_tossups(spark, sf, low).join(low, "tossup_id").select("tossup_id", "tournament", F.col("question_category").alias("category"), "n_reached")
 
 
 def bicluster_summary(spark: SparkSession, sf: str) -> DataFrame:

@@ -231,3 +231,13 @@ def test_responses_follow_the_first_of_repeated_buzzes_and_carry_keys_only(spark
     assert got(views.responses({**t, "buzz": t["buzz"].where("id > 1")}, "20")) == [("a", 1), ("a", 2)]
     plan = rules._pairs(spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in plan  # as of rows that are kept whole
+
+
+def test_first_buzzes_of_few_tossups_read_their_buzzes_alone(spark):
+    from quizlake.plans import relational
+
+    few = relational.season_tossups(spark, SF).orderBy("tossup_id").limit(3).select("tossup_id")
+    found = relational.season_tossups(spark, SF, few)
+    assert got(found) == got(relational.season_tossups(spark, SF).join(few, "tossup_id", "left_semi").select(*found.columns)) and found.count() == 3
+    assert "LeftSemi, BuildRight" in found._jdf.queryExecution().executedPlan().toString()  # the buzzes lie where they were read
+    assert got(relational.season_tossups(spark, SF, few.where("false"))) == []
