@@ -12,8 +12,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from quizlake.operators.dedup import ranked
 from quizlake.session import beside, cut
@@ -87,15 +90,17 @@ class Reach:
     """The reach matrix of pairs (player, item): ``by`` its rows' axis, ``over`` that of its columns, which are fewer; chunks of ``per`` rows, slabs of
     ``width`` columns."""
 
-    def __init__(self, pairs: DataFrame):
+    def __init__(self, pairs: DataFrame, over: str | None = None, whole: bool = False):
+        """over: the columns' axis, if it is not to be the shorter one. whole: slabs are so narrow that a task can hold one over all rows."""
         self.numbers = {axis: cut(numbered(pairs, axis)) for axis in ("player", "item")}
         self.count = {axis: df.count() for axis, df in self.numbers.items()}
-        self.by, self.over = ("item", "player") if self.count["player"] <= self.count["item"] else ("player", "item")
+        self.over = over or min(("player", "item"), key=self.count.get)
+        self.by = "item" if self.over == "player" else "player"
         n, cores = self.count[self.over], pairs.sparkSession.sparkContext.defaultParallelism
         at = {axis: df.select(axis, (F.col("n") - 1).cast("int").alias(f"{axis}_at")) for axis, df in self.numbers.items()}
         placed = pairs.join(at["player"], "player").select("player_at", "item").join(at["item"], "item").select("player_at", "item_at")
         self.per = min(max(CHUNK * self.count[self.by] // max(pairs.count(), 1), 1), 16384)
-        words = max(min(WORDS, HELD // max(n, 1), -(-n // (128 * cores))), 1)
+        words = max(min(WORDS, HELD // max(n, 1), HELD // max(whole * self.count[self.by], 1), -(-n // (128 * cores))), 1)
         self.width, self.slabs = 64 * words, -(-n // (64 * words))
         by, over, per = f"{self.by}_at", f"{self.over}_at", self.per
 
@@ -107,9 +112,10 @@ class Reach:
 
         self.chunks = cut(placed.groupBy(F.floor(F.col(by) / per)).applyInPandas(pack, "chunk long, starts binary, members binary"))
 
-    def slabwise(self, seen, end, schema: str) -> DataFrame:
+    def slabwise(self, seen, end, schema: str, last=None, sent: DataFrame | None = None, tasks: int | None = None) -> DataFrame:
         """A task for each slab of columns: what ``seen(slab, chunk, bits, held)`` gives for each chunk, bits being its rows of the matrix as words, and
-        ``end(slab, held)`` after them; held is a dict that the slab's calls share."""
+        ``end(slab, held)`` after them; held is a dict that the slab's calls share. With fewer ``tasks`` each has several slabs, held["task"] is a dict of the
+        task, and ``last(task)`` gives its last rows. held[axis, block] is the data of ``sent`` (axis, block, data): all of the rows' axis, the slab's of the other."""
         n, words, width, n_chunks = self.count[self.over], self.width // 64, self.width, self.chunks.count()
 
         def near(table: np.ndarray, slab: int, starts: np.ndarray, members: np.ndarray) -> None:
@@ -128,11 +134,16 @@ class Reach:
             first = np.concatenate([[0], np.nonzero(np.diff(target))[0] + 1, [len(target)]])
             table[target[first[:-1]]] |= unions(bits.view(np.uint64), source[order], first)
 
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            table, met, held = np.zeros((n, words), dtype=np.uint64), {1: 0, 2: 0}, {}
+        def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
+            task: dict = {}
+            table, met, held = np.zeros((n, words), dtype=np.uint64), {1: 0, 2: 0}, {"task": task}
             for b in batches:
-                for slab, turn, chunk, starts, members in zip(b.slab, b.turn, b.chunk, b.starts, b.members):
-                    starts, members = np.frombuffer(starts, dtype=np.int32), np.frombuffer(members, dtype=np.int32)
+                slabs_, turns, axes, blocks = (b.column(c).to_pylist() for c in ("slab", "turn", "axis", "block"))
+                for k, (slab, turn, axis, chunk) in enumerate(zip(slabs_, turns, axes, blocks)):
+                    if axis is not None:
+                        held[axis, chunk] = b.column("data")[k].as_py()
+                        continue
+                    starts, members = (np.frombuffer(b.column(c)[k].as_buffer(), dtype=np.int32) for c in ("starts", "members"))
                     met[turn] += 1
                     if turn == 1:
                         near(table, slab, starts, members)
@@ -142,10 +153,22 @@ class Reach:
                     yield from seen(slab, chunk, unions(table, members, starts), held)
                     if met[2] == n_chunks:
                         yield from end(slab, held)
-                        table[:], met, held = 0, {1: 0, 2: 0}, {}
-
-        slabs = self.chunks.sparkSession.range(0, self.slabs, 1, max(self.slabs, 1)).select(F.col("id").alias("slab"), F.explode(F.array(F.lit(1), F.lit(2))).alias("turn"))
-        return beside(slabs, self.chunks.coalesce(1)).select("slab", "turn", "chunk", "starts", "members").mapInPandas(run, schema)
+                        table[:], met, held = 0, {1: 0, 2: 0}, {"task": task}
+            if last:
+                yield from last(task)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for x in rows(batches):
+                yield pa.RecordBatch.from_pandas(x, schema=out, preserve_index=False)
+
+        out = to_arrow_schema(StructType.fromDDL(schema))
+        two = self.chunks.select(F.lit(None).cast("string").alias("axis"), F.col("chunk").alias("block"), F.lit(None).cast("binary").alias("data"), "starts", "members")
+        if sent is not None:
+            none = F.lit(None).cast("binary")
+            two = sent.select("axis", F.col("block").cast("long").alias("block"), "data", none.alias("starts"), none.alias("members")).unionByName(two)
+        slabs = self.chunks.sparkSession.range(0, self.slabs, 1, max(min(self.slabs, tasks or self.slabs), 1)).select(F.col("id").alias("slab"), F.explode(F.array(F.lit(1), F.lit(2))).alias("turn"))
+        meant = None if sent is None else F.col("axis").isNull() | ((F.col("turn") == 1) & ((F.col("axis") == self.by) | (F.col("block") == F.col("slab"))))
+        return beside(slabs, two.coalesce(1), meant).select("slab", "turn", "axis", "block", "data", "starts", "members").mapInArrow(run, schema)
 
     def sums(self) -> dict[str, DataFrame]:
         by, over, size = self.by, self.over, {self.by: self.per, self.over: self.width}

@@ -102,3 +102,47 @@ def test_products_of_the_blocks_equal_the_reach_matrix(spark):
     for axis, other in (("player", "item"), ("item", "player")):
         sums = {r[0]: r.x[0] for r in m.rows(m.times(m.ones(other), 1, axis), 1, axis).collect()}
         assert sums == {r[0]: r.n_reached for r in coverage.reach_activity(p, axis).collect()}
+
+
+def test_vectors_come_from_slabs_in_a_pass_a_round_and_equal_dense_ones(spark, monkeypatch):
+    """Three loose groups, several slabs and chunks; six passes for the vectors, one for the clusters' sums, and no stored matrix."""
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    pairs = sorted({(f"p{g * 100 + rng.integers(70):03}", int(g * 200 + rng.integers(90))) for g in range(3) for _ in range(130)} | {(f"p{g}00", g * 200 + 290) for g in range(3)} | {("p000", 205), ("p100", 405)})
+    p, passes, slabwise = spark.createDataFrame(pairs, "player string, item bigint"), [], coverage.Reach.slabwise
+    monkeypatch.setattr(coverage, "CHUNK", 60)
+    monkeypatch.setattr(coverage, "WORDS", 1)
+    monkeypatch.setattr(coverage.Reach, "slabwise", lambda *a, **k: passes.append(1) or slabwise(*a, **k))
+    m = cocluster.Blocks(p)
+    assert m.reach.slabs > 1 and m.reach.chunks.count() > 1
+    players, items = ({r[0]: r.x for r in x.collect()} for x in cocluster.vectors(m))
+    assert len(passes) == 6
+    names, ids = sorted({q for q, _ in pairs}), sorted({i for _, i in pairs})
+    met = np.zeros((len(names), len(ids)))
+    met[[names.index(q) for q, _ in pairs], [ids.index(i) for _, i in pairs]] = 1
+    reach = (met @ met.T @ met > 0).astype(float)
+    c = np.ones((len(ids), 1))
+    for _ in range(3):
+        r = 1 / (reach @ c)
+        c = 1 / (reach.T @ r)
+
+    def upright(x):
+        w, q = np.linalg.eigh(x.T @ x)
+        return x @ (q / np.sqrt(w))[:, ::-1]
+
+    x = upright(np.concatenate([np.sqrt(c), np.random.default_rng(0).standard_normal((32768, 4))[: len(ids)]], axis=1))
+    for _ in range(3):
+        y = upright(np.sqrt(r) * (reach @ (np.sqrt(c) * x)))
+        x = upright(np.sqrt(c) * (reach.T @ (np.sqrt(r) * y)))
+    assert np.allclose(np.abs([players[n] for n in names]), np.abs(y[:, 1:]), atol=1e-4)
+    assert np.allclose(np.abs([items[i] for i in ids]), np.abs(x[:, 1:]), atol=1e-4)
+    passes.clear()
+    rows, columns, means, column_means = cocluster.clustered(p, 3)
+    assert len(passes) == 7
+    label, column = {r[0]: r.cluster for r in rows.collect()}, {r[0]: r.cluster for r in columns.collect()}
+    assert set(label) == set(names) and set(column) == set(ids)
+    for k, i, mean in means.collect():
+        assert abs(mean - reach[[label[n] == k for n in names], ids.index(i)].mean()) < 1e-6
+    for k, n, mean in column_means.collect():
+        assert abs(mean - reach[names.index(n), [column[i] == k for i in ids]].mean()) < 1e-6
