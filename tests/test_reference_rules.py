@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from quizlake import catalog
+from quizlake import catalog, session
 from quizlake.functions import segment, text
 from quizlake.operators import cocluster, coverage, merge, records
 
@@ -146,3 +146,22 @@ def test_vectors_come_from_slabs_in_a_pass_a_round_and_equal_dense_ones(spark, m
         assert abs(mean - reach[[label[n] == k for n in names], ids.index(i)].mean()) < 1e-6
     for k, n, mean in column_means.collect():
         assert abs(mean - reach[names.index(n), [column[i] == k for i in ids]].mean()) < 1e-6
+
+
+def test_cluster_means_keep_no_bitmaps_and_a_partial_sum_a_task(spark, monkeypatch):
+    def none(*a, **k):
+        raise AssertionError("the matrix is stored")
+
+    monkeypatch.setattr(coverage, "reach_bitmaps", none)
+    monkeypatch.setattr(cocluster, "reach_bitmaps", none, raising=False)
+    monkeypatch.setattr(coverage, "WORDS", 1)
+    pairs = sorted({(f"p{k * 37 % 400:03}", k * k % 53) for k in range(900)} | {(f"q{k}", 60 + k % 3) for k in range(9)})
+    p, kept = spark.createDataFrame(pairs, "player string, item bigint"), []
+    monkeypatch.setattr(cocluster, "cut", lambda df: kept.append(session.cut(df)) or kept[-1])
+    m = cocluster.Blocks(p)
+    assert m.reach.slabs > 3
+    m.times(m.ones("player"), 1, "item")
+    assert kept[0].where("axis = 'item'").count() <= m.reach.chunks.count() * spark.sparkContext.defaultParallelism
+    got = cocluster.cluster_means(p, 2).collect()
+    assert {(r.axis, r.cluster) for r in got} == {(a, c) for a in ("row", "column") for c in (0, 1)}
+    assert len(got) == 2 * (len({q for q, _ in pairs}) + len({i for _, i in pairs})) and all(0 <= r["mean"] <= 1 for r in got)
