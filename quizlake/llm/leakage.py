@@ -6,8 +6,9 @@ whole window and so its fingerprint: no such span is missed. Equal fingerprints
 word; a pair counts when the run has at least 12 words.
 
 The fingerprints of items and documents are joined by key; then the texts of the pairs so found, and only these, are fetched
-and extended. So that few of the documents' fingerprints have to travel, those are left out whose leading ``BITS`` bits no item's
-fingerprint has, by a bitmap of fixed size. The corpus is read once for the fingerprints, however many items there are.
+and extended. A document's fingerprint travels only if one of the windows that chose it is likely to stand in an item: a bitmap of
+fixed size has a bit for the leading ``BITS`` bits of the hash of each window of 12 words of the items. A single k-gram in common is
+frequent, a window is not, so hardly any other pair is fetched. The corpus is read once for the fingerprints, however many items there are.
 
 Defined results: null and empty texts share nothing; texts under 12 words share nothing; every one of repeated items
 and documents is reported under its own id; empty tables give no rows; further columns are ignored.
@@ -83,6 +84,15 @@ def winnow(g: np.ndarray) -> np.ndarray:
     return span
 
 
+def window_hashes(g: np.ndarray) -> np.ndarray:
+    """A hash of all MIN_WORDS words of each window of WINDOW k-grams, from as many of its k-grams as cover them."""
+    n = max(len(g) - WINDOW + 1, 0)
+    out = np.zeros(n, dtype=np.uint64)
+    for k in (*range(0, WINDOW - 1, GRAM), WINDOW - 1):
+        out = out * np.uint64(0x9E3779B97F4A7C15) + g[k : k + n]
+    return out
+
+
 def run_length(a: list[str], i: int, b: list[str], j: int) -> int:
     """Length of the common run of words through a[i] and b[j]."""
     n, x, y = 0, i, j
@@ -96,12 +106,27 @@ def run_length(a: list[str], i: int, b: list[str], j: int) -> int:
     return n
 
 
-def prints(text: str, hashes: _Hashes) -> np.ndarray:
-    """The distinct fingerprints of a text."""
+def grams(w: list[str], hashes: _Hashes) -> np.ndarray:
+    """Hashes of the k-grams of words."""
+    return gram_hashes(np.fromiter(map(hashes.__getitem__, w), dtype=np.uint64, count=len(w)))
+
+
+def leading(h: np.ndarray, n: int) -> np.ndarray:
+    """The place of each hash in a bitmap of 2 ** n bits."""
+    return (h >> np.uint64(64 - n)).astype(np.int64)
+
+
+def prints(text: str, hashes: _Hashes, bits: np.ndarray | None = None, n: int = BITS) -> np.ndarray:
+    """The distinct fingerprints of a text (of its windows whose bit is set, if a bitmap of 2 ** n bits is given)."""
     w = words(text)
     if len(w) < MIN_WORDS:
         return np.zeros(0, dtype=np.uint64)
-    return np.unique(winnow(gram_hashes(np.fromiter((hashes[x] for x in w), dtype=np.uint64, count=len(w)))))
+    g = grams(w, hashes)
+    if bits is None:
+        return np.unique(winnow(g))
+    k = leading(window_hashes(g), n)
+    meant = (bits[k >> 3] >> (k & 7).astype(np.uint8)) & 1 == 1
+    return np.unique(winnow(g)[meant]) if meant.any() else g[:0]
 
 
 class Side:
@@ -111,7 +136,7 @@ class Side:
 
     def __init__(self, text: str, hashes: _Hashes):
         self.w = words(text)
-        self.g = gram_hashes(np.fromiter((hashes[x] for x in self.w), dtype=np.uint64, count=len(self.w)))
+        self.g = grams(self.w, hashes)
         self.sorted, self.at = np.unique(self.g), None
 
     def places(self) -> dict[int, list[int]]:
@@ -140,7 +165,7 @@ def share(a: Side, b: Side) -> bool:
 
 
 def fingerprints(rows: DataFrame, wanted: Broadcast | None = None) -> DataFrame:
-    """id, print of each text's fingerprints (of those whose bit is set in ``wanted``, if given). rows: id, text."""
+    """id, print of each text's fingerprints (of windows whose bit is set in ``wanted``, if given). rows: id, text."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = _Hashes()
@@ -148,10 +173,7 @@ def fingerprints(rows: DataFrame, wanted: Broadcast | None = None) -> DataFrame:
         for b in batches:
             ids, found = [], []
             for i, t in zip(b.id, b.text):
-                f = prints(t, hashes)
-                if bits is not None and len(f):
-                    k = (f >> np.uint64(64 - BITS)).astype(np.int64)
-                    f = f[(bits[k >> 3] >> (k & 7).astype(np.uint8)) & 1 == 1]
+                f = prints(t, hashes, bits, BITS)
                 if len(f):
                     ids.append(np.full(len(f), i, dtype=np.int64))
                     found.append(f.view(np.int64))
@@ -160,9 +182,16 @@ def fingerprints(rows: DataFrame, wanted: Broadcast | None = None) -> DataFrame:
     return rows.mapInPandas(run, "id long, print long")
 
 
-def bitmap(own: DataFrame) -> bytes:
-    """A bit for each leading pattern of BITS bits that a fingerprint has: 2 ** BITS bits however many there are."""
-    k = own.select((F.shiftrightunsigned("print", 64 - BITS) + 1).alias("k"))
+def bitmap(rows: DataFrame) -> bytes:
+    """A bit for each leading pattern of BITS bits that the hash of a window has: 2 ** BITS bits however many there are. rows: text."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hashes = _Hashes()
+        for b in batches:
+            for t in b.text:
+                yield pd.DataFrame({"k": np.unique(leading(window_hashes(grams(words(t), hashes)), BITS)) + 1})
+
+    k = rows.select("text").mapInPandas(run, "k long")
     parts = k.groupBy(F.bitmap_bucket_number("k").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("k")).alias("bits"))
     out = bytearray(1 << (BITS - 3))
     for r in parts.toLocalIterator():
@@ -177,7 +206,7 @@ def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", doc_text: s
     texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(doc_text).alias("text")).where("text is not null")
     held = items.select(F.col(item_id).cast("long").alias("id"), F.col(item_text).alias("text")).where("text is not null")
     own = cut(fingerprints(spread(held)).distinct())
-    wanted = spark.sparkContext.broadcast(bitmap(own))
+    wanted = spark.sparkContext.broadcast(bitmap(spread(held)))
     theirs = fingerprints(spread(texts), wanted).select(F.col("id").alias("doc_id"), "print")
     pairs = cut(theirs.join(own.select(F.col("id").alias("item_id"), "print"), "print").select("doc_id", "item_id").distinct())
 

@@ -137,6 +137,16 @@ def test_leakage(spark, monkeypatch):
     assert leakage.leaks(dd, ii.limit(0)).count() == 0 and leakage.leaks(dd.limit(0), ii).count() == 0
 
 
+def test_leakage_fetches_no_pair_for_k_grams_alone(spark, monkeypatch):
+    """Each document shares 10 words with the item, so 5-grams and most likely a fingerprint; only document 0 shares 12."""
+    item = [f"word{i}" for i in range(60)]
+    docs = [(k, " ".join([f"a{k}x{i}" for i in range(9)] + item[k : k + (10 if k else 12)] + [f"b{k}x{i}" for i in range(9)])) for k in range(50)]
+    kept, cut = [], leakage.cut
+    monkeypatch.setattr(leakage, "cut", lambda df: kept.append(cut(df)) or kept[-1])
+    found = leakage.leaks(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame([(7, " ".join(item))], "item_id bigint, text string"))
+    assert got(found) == [(0, 7)] and got(kept[-1]) == [(0, 7)]
+
+
 def test_scores(spark):
     docs = spark.createDataFrame([(1, "You worthless idiot, go kill yourself.", "f", "s"), (2, "A fine round.", "f", "s"), (3, None, "f", "s"), (4, "", None, "s"), (5, "A fine day. " * 5000 + "You idiot!", "g", "s")], "doc_id bigint, text string, source string, score string")
     labels = spark.createDataFrame([(1, 1, "a"), (1, 0, "b"), (1, 1, "c"), (2, 0, "a"), (9, 1, "a"), (2, None, "b"), (None, 1, "b")], "doc_id bigint, abusive int, text string")
