@@ -5,7 +5,8 @@ vectors while it is in memory. ``Blocks.both`` multiplies it from both sides at
 soon as the slab is, so their image can go back to the items before the slab is dropped. A round of scaling or of subspace iteration is
 one such pass, and so are the sums of both axes' clusters. Rows and columns are scaled to equal sums (only the two scaling vectors are
 kept), leading singular vectors are found by subspace iteration, and k-means groups rows and columns by them. Vectors are tables of
-blocks; the driver holds only k x k matrices.
+blocks; the driver holds only k x k matrices. After each pass the partial sums, and before the first the pairs and the shuffle files that
+they came through, are removed from disk.
 
 Clusters are numbered in the leaf order of Ward linkage over the distances of their mean vectors, so similar ones are neighbours.
 """
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quizlake.operators.coverage import Reach
-from quizlake.session import cut
+from quizlake.session import cut, swept
 
 CLUSTERS, SEED = 6, 0
 #: items after which the start's random numbers repeat; rows whose bits are floats at a time
@@ -50,6 +51,7 @@ class Blocks:
     a chunk of items. Single products of up to ``ROWS`` terms are made in single precision and summed in double."""
 
     def __init__(self, pairs: DataFrame):
+        swept(pairs.sparkSession)
         self.reach = Reach(pairs, over="player", whole=True)
         self.numbers = self.reach.numbers
         self.size = {"player": self.reach.width, "item": self.reach.per}
@@ -94,7 +96,10 @@ class Blocks:
         want_items, want_players = items is not None, players is not None
         items, players = want_items or None, want_players or None  # the closures take no tables along
         out = cut(self.reach.slabwise(seen, end, "axis string, block long, k int, data binary", last, sent[0].unionByName(sent[1]) if len(sent) > 1 else sent[0], cores))
-        return out.where("axis = 'player'").select("block", "data"), cut(out.where("axis = 'item'").groupBy("block").applyInPandas(total, "block long, data binary"))
+        kept, products = cut(out.where("axis = 'player'").select("block", "data")), cut(out.where("axis = 'item'").groupBy("block").applyInPandas(total, "block long, data binary"))
+        del out
+        swept(kept.sparkSession)
+        return kept, products
 
     def times(self, x: DataFrame, k: int, axis: str) -> DataFrame:
         """Matrix by vectors over the items (axis player: a result per player), or its transpose by vectors over the players."""
@@ -245,6 +250,7 @@ def _ordered(m: Blocks, labels: DataFrame, sums: DataFrame, axis: str, clusters:
 def clustered(pairs: DataFrame, clusters: int = CLUSTERS) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """(player, cluster), (item, cluster), mean rows by row cluster, mean columns by column cluster."""
     m = Blocks(cut(pairs))
+    swept(pairs.sparkSession)  # of the pairs, the chunks are left
     players, items = vectors(m)
     labels = {axis: cut(_grouped(x, axis, clusters)) for axis, x in (("player", players), ("item", items))}
     hot = {axis: cut(m.one_hot(x, axis, clusters)) for axis, x in labels.items()}

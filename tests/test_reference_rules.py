@@ -1,5 +1,8 @@
 """Small cases with results worked out by hand: the reach matrix, records, spans, lookups, stored copies."""
 
+import re
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -165,3 +168,24 @@ def test_cluster_means_keep_no_bitmaps_and_a_partial_sum_a_task(spark, monkeypat
     got = cocluster.cluster_means(p, 2).collect()
     assert {(r.axis, r.cluster) for r in got} == {(a, c) for a in ("row", "column") for c in (0, 1)}
     assert len(got) == 2 * (len({q for q, _ in pairs}) + len({i for _, i in pairs})) and all(0 <= r["mean"] <= 1 for r in got)
+
+
+def test_cluster_means_let_go_of_the_pairs_and_of_partial_sums(spark, monkeypatch):
+    def shuffles():
+        files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(" ")
+        return set(re.findall(r"shuffle_(\d+)_", files))
+
+    pairs = [(f"p{k * 37 % 40:03}", k * k % 53) for k in range(300)]
+    p, left, slabwise = spark.createDataFrame(pairs, "player string, item bigint").repartition(4, "player").distinct(), [], coverage.Reach.slabwise
+    session.swept(spark)
+    before = shuffles()
+
+    def counted(self, *a, **k):
+        time.sleep(1)  # what is let go is removed a little later
+        left.append(len(shuffles() - before))
+        return slabwise(self, *a, **k)
+
+    monkeypatch.setattr(coverage.Reach, "slabwise", counted)
+    rows = cocluster.clustered(p, 2)[0]
+    assert rows.count() == 40 and len(left) == 7
+    assert left[0] == 0 and max(left) <= 20
